@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame
 
 from paywarden.functions.times import with_timestamp
 from paywarden.operators.hot_users import find_hot_users, first_seen_lookup, hot_user_columns, is_hot
@@ -76,9 +76,3 @@ def first_seen_by_join(transactions: DataFrame) -> DataFrame:
     """
     joined = transactions.join(first_seen_lookup(transactions), ["user_id", "device_id"], "left")
     return joined.select(*transactions.columns, "first_seen_device_ts")
-
-
-def first_seen_by_window(transactions: DataFrame) -> DataFrame:
-    """The same on non-NULL keys, without a join; for users of ordinary size."""
-    on_device = W.partitionBy("user_id", "device_id")
-    return transactions.withColumn("first_seen_device_ts", F.min("timestamp").over(on_device))

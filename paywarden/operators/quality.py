@@ -125,7 +125,7 @@ def routed(bronze: DataFrame) -> DataFrame:
     Scan, one shuffle for the ids, then everything else in one projection.
     Written with ``partitionBy("layer")`` this fills both tables in one job.
     """
-    clean = normalize_timestamp(deduplicate(require_columns(bronze).select(*TRANSACTION_COLUMNS)))
+    clean = normalize_timestamp(deduplicate(require_columns(bronze)))
     ok = complete(clean)
     rejected_amount = F.col("amount") <= 0
     layers = F.array_compact(
@@ -140,7 +140,7 @@ def routed(bronze: DataFrame) -> DataFrame:
 
 def quarantine_reasons(bronze: DataFrame) -> DataFrame:
     """One row per rejected transaction with the list of its reasons."""
-    unique = deduplicate(require_columns(bronze).select(*TRANSACTION_COLUMNS))
+    unique = deduplicate(require_columns(bronze))
     parsed = parsed_timestamp(unique)
     checks = [
         F.when(absent(unique, c), F.lit(f"missing {c}"))
@@ -158,7 +158,7 @@ def quarantine_reasons(bronze: DataFrame) -> DataFrame:
 def stage_counts(bronze: DataFrame) -> DataFrame:
     """Row counts after each silver stage, from one pass over bronze."""
     unique = normalize_timestamp(
-        deduplicate(require_columns(bronze).select(*TRANSACTION_COLUMNS), copies="_copies")
+        deduplicate(require_columns(bronze), copies="_copies")
     )
     ok = complete(unique)
     low = F.col("amount") <= 0
