@@ -19,47 +19,49 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
 from paywarden.functions.times import epoch_second
 from paywarden.schema import CONTEXT_COLUMNS, FEATURE_COLUMNS, FeatureConfig
 
 BEHAVIOUR_COLUMNS = FEATURE_COLUMNS + CONTEXT_COLUMNS
 
-_BY_SECOND = W.partitionBy("user_id").orderBy("_second")
-_IN_DAY = W.partitionBy("user_id", "_day").orderBy("timestamp")
-_ON_DEVICE = W.partitionBy("user_id", "device_id").orderBy("timestamp")
-_AT_LOCATION = W.partitionBy("user_id", "location").orderBy("timestamp")
+def _by_second():
+    return W.partitionBy("user_id").orderBy("_second")
 
-_UP_TO_NOW = _BY_SECOND.rangeBetween(W.unboundedPreceding, 0)
+
+def _at_location():
+    return W.partitionBy("user_id", "location").orderBy("timestamp")
+
+
+def _on_device():
+    return W.partitionBy("user_id", "device_id").orderBy("timestamp")
+
+
+def _until_now():
+    return _by_second().rangeBetween(W.unboundedPreceding, 0)
 
 
 def _before_frame(seconds: int):
     """Everything older than the last ``seconds`` seconds."""
-    return _BY_SECOND.rangeBetween(W.unboundedPreceding, -(seconds + 1))
+    return _by_second().rangeBetween(W.unboundedPreceding, -(seconds + 1))
 
 
 def _count_last(seconds: int) -> Column:
-    return F.count("transaction_id").over(_UP_TO_NOW) - F.count("transaction_id").over(
-        _before_frame(seconds)
-    )
+    ids = F.count("transaction_id")
+    return ids.over(_until_now()) - ids.over(_before_frame(seconds))
 
 
-def _first_today(name: str, window) -> Column:
+def _first_today(name: str, window: WindowSpec) -> Column:
     """1 on the row where ``name`` shows up for the first time that day."""
     before = F.lag("_day").over(window)
-    return F.when(F.col(name).isNotNull() & (before.isNull() | (before != F.col("_day"))), 1).otherwise(0)
-
-
-def _stay_begins(seconds: int) -> Column:
-    before = F.lag("_second").over(_AT_LOCATION)
-    apart = before.isNull() | (F.col("_second") - before > seconds)
-    return F.when(F.col("location").isNotNull() & apart, 1).otherwise(0)
+    new = before.isNull() | (before != F.col("_day"))
+    return F.when(F.col(name).isNotNull() & new, 1).otherwise(0)
 
 
-def _stay_ends(seconds: int) -> Column:
-    after = F.lead("_second").over(_AT_LOCATION)
-    apart = after.isNull() | (after - F.col("_second") > seconds)
+def _stay_edge(neighbour: Column, seconds: int) -> Column:
+    """1 where the neighbouring visit to the location is over ``seconds`` away."""
+    apart = neighbour.isNull() | (F.abs(F.col("_second") - neighbour) > seconds)
     return F.when(F.col("location").isNotNull() & apart, 1).otherwise(0)
 
 
@@ -69,23 +71,28 @@ def user_window_columns(
     config: FeatureConfig = FeatureConfig(),
 ) -> DataFrame:
     """``transactions`` plus the wanted columns, with one shuffle by user."""
-    stays = config.location_seconds
+    stay = config.location_seconds
+    device, location = _on_device(), _at_location()
+    in_day = W.partitionBy("user_id", "_day").orderBy("timestamp")
     flags = {
-        "device_switch_frequency": {"_new_device": _first_today("device_id", _ON_DEVICE)},
-        "location_change_rate": {"_new_location": _first_today("location", _AT_LOCATION)},
-        "loc_count_1hr": {"_begins": _stay_begins(stays), "_ends": _stay_ends(stays)},
-        "first_seen_device_ts": {"first_seen_device_ts": F.min("timestamp").over(_ON_DEVICE)},
+        "device_switch_frequency": {"_new_device": _first_today("device_id", device)},
+        "location_change_rate": {"_new_location": _first_today("location", location)},
+        "loc_count_1hr": {
+            "_begins": _stay_edge(F.lag("_second").over(location), stay),
+            "_ends": _stay_edge(F.lead("_second").over(location), stay),
+        },
+        "first_seen_device_ts": {"first_seen_device_ts": F.min("timestamp").over(device)},
     }
     columns = {
         "transaction_velocity": _count_last(config.velocity_seconds),
-        "average_transaction_amount": F.avg("amount").over(_IN_DAY),
-        "device_switch_frequency": F.sum("_new_device").over(_IN_DAY).cast("int"),
-        "location_change_rate": F.sum("_new_location").over(_IN_DAY).cast("int"),
-        "daily_transaction_count": F.count("transaction_id").over(_IN_DAY),
+        "average_transaction_amount": F.avg("amount").over(in_day),
+        "device_switch_frequency": F.sum("_new_device").over(in_day).cast("int"),
+        "location_change_rate": F.sum("_new_location").over(in_day).cast("int"),
+        "daily_transaction_count": F.count("transaction_id").over(in_day),
         "txn_count_10min": _count_last(config.burst_seconds),
         "loc_count_1hr": (
-            F.sum("_begins").over(_UP_TO_NOW)
-            - F.coalesce(F.sum("_ends").over(_before_frame(stays)), F.lit(0))
+            F.sum("_begins").over(_until_now())
+            - F.coalesce(F.sum("_ends").over(_before_frame(stay)), F.lit(0))
         ).cast("int"),
         "first_seen_device_ts": F.col("first_seen_device_ts"),
     }
