@@ -28,6 +28,8 @@ _BLOCK_SECONDS = 60
 _PER_DAY = ["_rows", "_amounts", "_amount_sum", "_devices", "_locations"]
 _SLIDING = ["_velocity", "_burst", "_places"]
 
+_FIRST_SEEN = {"device_switch_frequency": "device_id", "location_change_rate": "location"}
+
 
 def find_hot_users(transactions: DataFrame, config: SkewConfig = SkewConfig()) -> list[str]:
     """Ids with more than ``hot_rows`` rows, at most ``max_hot_users`` of them.
@@ -50,111 +52,95 @@ def is_hot(hot_users: Sequence[str]) -> Column:
     return F.coalesce(F.col("user_id").isin(list(hot_users)), F.lit(False))
 
 
-def _changes(at: DataFrame, **amounts: Column) -> DataFrame:
-    """Rows of one kind of change: who, when, and how much of what."""
+def _change(at: Column, **amounts: Column) -> Column:
+    """How much of what changes for a user at one instant."""
     filled = [
         amounts.get(c, F.lit(None)).cast("double" if c == "_amount_sum" else "long").alias(c)
         for c in _PER_DAY + _SLIDING
     ]
-    return at.select("user_id", "timestamp", *filled)
+    return F.struct(at.alias("timestamp"), *filled)
+
+
+def _changes(df: DataFrame, *changes: Column) -> DataFrame:
+    """One row per non-NULL change of each row."""
+    unfolded = df.select("user_id", F.inline(F.array(*changes)))
+    return unfolded.where(F.col("timestamp").isNotNull())
 
 
-def _later(seconds: int) -> Column:
-    """The first whole second at which this row is out of a look-back frame."""
-    return F.timestamp_seconds(epoch_second() + seconds + 1)
+def _after(second: Column, seconds: int) -> Column:
+    """The first whole second whose look-back frame no longer holds ``second``."""
+    return F.timestamp_seconds(second + seconds + 1)
 
 
-def _counted(transactions: DataFrame, config: FeatureConfig, wanted: Collection[str]) -> list[DataFrame]:
+def _counted(transactions: DataFrame, config: FeatureConfig) -> DataFrame:
+    """Rows and amounts join at their instant and leave the frames later."""
     instants = transactions.groupBy("user_id", "timestamp").agg(
         F.count("transaction_id").alias("_n"),
         F.count("amount").alias("_m"),
         F.sum("amount").alias("_s"),
     )
-    n = F.col("_n")
-    parts = [
-        _changes(
-            instants, _rows=n, _amounts=F.col("_m"), _amount_sum=F.col("_s"), _velocity=n, _burst=n
-        )
-    ]
-    if "transaction_velocity" in wanted:
-        gone = instants.withColumn("timestamp", _later(config.velocity_seconds))
-        parts.append(_changes(gone, _velocity=-n))
-    if "txn_count_10min" in wanted:
-        gone = instants.withColumn("timestamp", _later(config.burst_seconds))
-        parts.append(_changes(gone, _burst=-n))
-    return parts
-
-
-def _first_today(transactions: DataFrame, wanted: Collection[str]) -> list[DataFrame]:
-    kinds = [
-        (column, F.struct(F.lit(column).alias("kind"), F.col(column).alias("value")))
-        for feature, column in (
-            ("device_switch_frequency", "device_id"),
-            ("location_change_rate", "location"),
-        )
-        if feature in wanted
-    ]
-    if not kinds:
-        return []
+    n, second = F.col("_n"), epoch_second()
+    return _changes(
+        instants,
+        _change(
+            F.col("timestamp"),
+            _rows=n, _amounts=F.col("_m"), _amount_sum=F.col("_s"), _velocity=n, _burst=n,
+        ),
+        _change(_after(second, config.velocity_seconds), _velocity=-n),
+        _change(_after(second, config.burst_seconds), _burst=-n),
+    )
+
+
+def _first_today(transactions: DataFrame, kinds: Collection[str]) -> DataFrame:
+    """Each value of the columns ``kinds`` counts from when it is first seen."""
+    tagged = [F.struct(F.lit(c).alias("kind"), F.col(c).alias("value")) for c in kinds]
     firsts = (
-        transactions.select(
-            "user_id", "timestamp", F.explode(F.array(*[k for _, k in kinds])).alias("_seen")
-        )
-        .where(F.col("_seen.value").isNotNull())
-        .groupBy("user_id", F.to_date("timestamp"), "_seen.kind", "_seen.value")
+        transactions.select("user_id", "timestamp", F.inline(F.array(*tagged)))
+        .where(F.col("value").isNotNull())
+        .groupBy("user_id", F.to_date("timestamp"), "kind", "value")
         .agg(F.min("timestamp").alias("timestamp"))
     )
-    return [
-        _changes(
-            firsts,
+    return _changes(
+        firsts,
+        _change(
+            F.col("timestamp"),
             _devices=F.when(F.col("kind") == "device_id", 1),
             _locations=F.when(F.col("kind") == "location", 1),
-        )
-    ]
+        ),
+    )
 
 
-def _stays(transactions: DataFrame, config: FeatureConfig, wanted: Collection[str]) -> list[DataFrame]:
+def _stays(transactions: DataFrame, seconds: int) -> DataFrame:
     """+1 when a stay at a location begins, -1 when it has left the frame."""
-    if "loc_count_1hr" not in wanted:
-        return []
-    length = config.location_seconds
-    seconds = (
+    in_place = W.partitionBy("user_id", "location").orderBy("_second")
+    visits = (
         transactions.where(F.col("location").isNotNull())
         .select("user_id", "location", epoch_second().alias("_second"))
         .distinct()
+        .withColumns(
+            {"_before": F.lag("_second").over(in_place), "_next": F.lead("_second").over(in_place)}
+        )
     )
-    in_place = W.partitionBy("user_id", "location").orderBy("_second")
-    visits = seconds.withColumns(
-        {"_before": F.lag("_second").over(in_place), "_after": F.lead("_second").over(in_place)}
+    now, before, following = F.col("_second"), F.col("_before"), F.col("_next")
+    begins = before.isNull() | (now - before > seconds)
+    ends = following.isNull() | (following - now > seconds)
+    return _changes(
+        visits,
+        F.when(begins, _change(F.timestamp_seconds(now), _places=F.lit(1))),
+        F.when(ends, _change(_after(now, seconds), _places=F.lit(-1))),
     )
-    begins = F.col("_before").isNull() | (F.col("_second") - F.col("_before") > length)
-    ends = F.col("_after").isNull() | (F.col("_after") - F.col("_second") > length)
-    start = F.timestamp_seconds("_second")
-    left = F.timestamp_seconds(F.col("_second") + length + 1)
-    moves = visits.select(
-        "user_id",
-        F.explode(
-            F.array_compact(
-                F.array(
-                    F.when(begins, F.struct(start.alias("at"), F.lit(1).alias("by"))),
-                    F.when(ends, F.struct(left.alias("at"), F.lit(-1).alias("by"))),
-                )
-            )
-        ).alias("_move"),
-    ).select("user_id", F.col("_move.at").alias("timestamp"), "_move.by")
-    return [_changes(moves, _places=F.col("by"))]
 
 
 def _instant_values(
     transactions: DataFrame, wanted: Collection[str], config: FeatureConfig
 ) -> DataFrame:
     """One row per user and instant with the wanted columns."""
-    parts = _counted(transactions, config, wanted)
-    parts += _first_today(transactions, wanted)
-    parts += _stays(transactions, config, wanted)
-    changes = parts[0]
-    for part in parts[1:]:
-        changes = changes.unionByName(part)
+    changes = _counted(transactions, config)
+    kinds = [column for feature, column in _FIRST_SEEN.items() if feature in wanted]
+    if kinds:
+        changes = changes.unionByName(_first_today(transactions, kinds))
+    if "loc_count_1hr" in wanted:
+        changes = changes.unionByName(_stays(transactions, config.location_seconds))
 
     totals = [F.sum(c).alias(c) for c in _PER_DAY + _SLIDING]
     block = ["user_id", "_day", "_block"]
@@ -189,7 +175,9 @@ def _instant_values(
         )
     )
 
-    joined = running.join(carried, block)
+    # Every block has its row in ``carried``.  An outer join infers no filters
+    # on ``running``, so both sides keep one and the same shuffle below them.
+    joined = running.join(carried, block, "left")
 
     def total(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(0)) + F.coalesce(F.col(f"{name}_before"), F.lit(0))

@@ -43,14 +43,14 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
-def kpis(scored_with_alert_types: DataFrame) -> DataFrame:
-    """Totals and alert rate, from one pass over rows with their alert arrays.
+def kpis(counted_rows: DataFrame) -> DataFrame:
+    """Totals and alert rate, from one pass over rows with their alert counts.
 
     The rate counts alerts, so it can exceed 1; ``fraud_rate_distinct`` counts
     transactions with at least one alert.
     """
-    raised = F.size("alert_types")
-    counted = scored_with_alert_types.agg(
+    raised = F.col("alert_count")
+    counted = counted_rows.agg(
         F.count(F.lit(1)).alias("transactions_processed"),
         F.coalesce(F.sum(raised), F.lit(0)).cast("long").alias("fraud_alerts"),
         F.count_if(raised > 0).alias("_flagged"),

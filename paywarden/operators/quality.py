@@ -11,6 +11,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from paywarden.functions.arrays import without_nulls
 from paywarden.functions.times import parsed_timestamp
 from paywarden.schema import SILVER_SCHEMA, TRANSACTION_COLUMNS
 
@@ -126,14 +127,12 @@ def routed(bronze: DataFrame) -> DataFrame:
     Written with ``partitionBy("layer")`` this fills both tables in one job.
     """
     clean = normalize_timestamp(deduplicate(require_columns(bronze)))
-    ok = complete(clean)
-    rejected_amount = F.col("amount") <= 0
-    layers = F.array_compact(
-        F.array(
-            F.when(ok & (F.col("amount") > 0), F.lit(SILVER)),
-            F.when(~ok, F.lit(QUARANTINE)),
-            F.when(rejected_amount, F.lit(QUARANTINE)),
-        )
+    ok, low = complete(clean), F.col("amount") <= 0
+    rejected = F.lit(QUARANTINE)
+    layers = (
+        F.when(ok & (F.col("amount") > 0), F.array(F.lit(SILVER)))
+        .when(~ok & low, F.array(rejected, rejected))
+        .otherwise(F.array(rejected))
     )
     return clean.withColumn("layer", F.explode(layers))
 
@@ -151,7 +150,7 @@ def quarantine_reasons(bronze: DataFrame) -> DataFrame:
     )
     checks.append(F.when(F.col("amount") <= 0, F.lit("amount not positive")))
     return unique.withColumns(
-        {"timestamp": parsed, "quarantine_reasons": F.array_compact(F.array(*checks))}
+        {"timestamp": parsed, "quarantine_reasons": without_nulls(F.array(*checks))}
     ).where(F.size("quarantine_reasons") > 0)
 
 

@@ -6,6 +6,9 @@ alerts cost one pass over the scored rows instead of one per rule.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add, or_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paywarden.operators.features import with_rule_context
@@ -38,14 +41,13 @@ def _require_scored(scored: DataFrame) -> None:
         raise ValueError(f"the alert rules need the columns {', '.join(absent)}")
 
 
-def with_alert_types(
+def with_alert_count(
     scored: DataFrame, config: RuleConfig = RuleConfig(), **options
 ) -> DataFrame:
-    """Scored rows with the (possibly empty) array of alerts each one raises."""
+    """Scored rows with the number of alerts each one raises."""
     _require_scored(scored)
-    context = with_rule_context(scored, **options)
-    raised = [F.when(cond, F.lit(name)) for name, cond in rule_conditions(config).items()]
-    return context.withColumn("alert_types", F.array_compact(F.array(*raised)))
+    raised = [F.when(cond, 1).otherwise(0) for cond in rule_conditions(config).values()]
+    return with_rule_context(scored, **options).withColumn("alert_count", reduce(add, raised))
 
 
 def detect_fraud_rules(
@@ -55,8 +57,16 @@ def detect_fraud_rules(
 
     Unique when transaction ids are; use ``unique_alerts`` where they are not.
     """
-    raised = with_alert_types(scored, config, **options).where(F.size("alert_types") > 0)
-    return raised.withColumn("alert_type", F.explode("alert_types")).select(*ALERT_COLUMNS)
+    _require_scored(scored)
+    conditions = rule_conditions(config)
+    context = with_rule_context(scored, **options)
+    raised = F.array(*[F.when(cond, F.lit(name)) for name, cond in conditions.items()])
+    return (
+        context.where(reduce(or_, conditions.values()))
+        .withColumn("alert_type", F.explode(raised))
+        .where(F.col("alert_type").isNotNull())
+        .select(*ALERT_COLUMNS)
+    )
 
 
 def alerts_of(

@@ -312,7 +312,7 @@ def bronze_to_alerts(spark, sf_dir):
 
 @_query
 def kpis(spark, sf_dir):
-    return marts.kpis(rules.with_alert_types(_scored(spark, sf_dir)))
+    return marts.kpis(rules.with_alert_count(_scored(spark, sf_dir)))
 
 
 @_query
