@@ -50,7 +50,7 @@ def behaviour(
         hot_users = find_hot_users(transactions, skew)
     if not hot_users:
         return user_window_columns(transactions, wanted, config)
-    hot = is_hot(hot_users)
+    hot = is_hot(hot_users, skew)
     plain = user_window_columns(transactions.where(~hot), wanted, config)
     split = hot_user_columns(transactions.where(hot), wanted, config)
     return plain.unionByName(split)

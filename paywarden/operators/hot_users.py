@@ -32,24 +32,32 @@ _FIRST_SEEN = {"device_switch_frequency": "device_id", "location_change_rate": "
 
 
 def find_hot_users(transactions: DataFrame, config: SkewConfig = SkewConfig()) -> list[str]:
-    """Ids with more than ``hot_rows`` rows, at most ``max_hot_users`` of them.
+    """Ids with more than ``hot_rows`` rows; one more than the limit if too many.
 
-    Reads the id column only and counts before it shuffles.
+    Reads the id column only, counts before it shuffles, and brings at most
+    ``max_hot_users + 1`` ids to the driver.
     """
-    counts = (
+    hot = (
         transactions.where(F.col("user_id").isNotNull())
         .groupBy("user_id")
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > config.hot_rows)
-        .orderBy(F.desc("_rows"), "user_id")
-        .limit(config.max_hot_users)
+        .select("user_id")
+        .limit(config.max_hot_users + 1)
     )
-    return [row.user_id for row in counts.select("user_id").collect()]
+    return [row.user_id for row in hot.collect()]
 
 
-def is_hot(hot_users: Sequence[str]) -> Column:
-    """True for the listed users; never NULL, so its negation keeps NULL ids."""
-    return F.coalesce(F.col("user_id").isin(list(hot_users)), F.lit(False))
+def is_hot(hot_users: Sequence[str], config: SkewConfig = SkewConfig()) -> Column:
+    """Rows for the split path; never NULL, so its negation keeps the others.
+
+    More ids than the limit mean that big users are the rule, and then all rows
+    with a user and a time take the split path.
+    """
+    known = F.col("user_id").isNotNull() & F.col("timestamp").isNotNull()
+    if len(hot_users) > config.max_hot_users:
+        return known
+    return known & F.coalesce(F.col("user_id").isin(list(hot_users)), F.lit(False))
 
 
 def _change(at: Column, **amounts: Column) -> Column:

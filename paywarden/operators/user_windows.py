@@ -48,20 +48,19 @@ def _before_frame(seconds: int):
 
 
 def _count_last(seconds: int) -> Column:
-    ids = F.count("transaction_id")
-    return ids.over(_until_now()) - ids.over(_before_frame(seconds))
+    older = F.count("transaction_id").over(_before_frame(seconds))
+    return F.col("_so_far") - older
 
 
 def _first_today(name: str, window: WindowSpec) -> Column:
     """1 on the row where ``name`` shows up for the first time that day."""
-    before = F.lag("_day").over(window)
-    new = before.isNull() | (before != F.col("_day"))
+    new = F.coalesce(F.lag("_day").over(window) != F.col("_day"), F.lit(True))
     return F.when(F.col(name).isNotNull() & new, 1).otherwise(0)
 
 
 def _stay_edge(neighbour: Column, seconds: int) -> Column:
     """1 where the neighbouring visit to the location is over ``seconds`` away."""
-    apart = neighbour.isNull() | (F.abs(F.col("_second") - neighbour) > seconds)
+    apart = F.coalesce(F.abs(F.col("_second") - neighbour) > seconds, F.lit(True))
     return F.when(F.col("location").isNotNull() & apart, 1).otherwise(0)
 
 
@@ -102,6 +101,7 @@ def user_window_columns(
     )
     helpers = {name: column for w in wanted for name, column in flags.get(w, {}).items()}
     flagged = timed.withColumns(helpers) if helpers else timed
-    return flagged.withColumns({c: columns[c] for c in wanted}).select(
+    counted = flagged.withColumn("_so_far", F.count("transaction_id").over(_until_now()))
+    return counted.withColumns({c: columns[c] for c in wanted}).select(
         *transactions.columns, *wanted
     )

@@ -81,10 +81,9 @@ class FeatureConfig:
 class SkewConfig:
     """When a user is too big for one task.
 
-    A user with more than ``hot_rows`` rows takes the split path.  At most
-    ``max_hot_users`` ids are listed, largest first, so the list has a fixed
-    bound; any user left out is smaller than every listed one and is computed,
-    just as exactly, on the plain path.
+    A user with more than ``hot_rows`` rows takes the split path.  The list of
+    such users is part of the plan, so it is kept to ``max_hot_users`` ids; if
+    there are more of them, all users take the split path.
     """
 
     hot_rows: int = 5_000_000

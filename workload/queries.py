@@ -207,8 +207,7 @@ def fraud_features_hot_users(spark, sf_dir):
 @_query
 def fraud_features_mixed(spark, sf_dir):
     """The features with the busiest users split and the others plain."""
-    total = transactions(spark, sf_dir)
-    rows = feat.behaviour(total, skew=SkewConfig(hot_rows=70, max_hot_users=50))
+    rows = feat.behaviour(transactions(spark, sf_dir), skew=SkewConfig(hot_rows=75))
     return rows.select("transaction_id", *FEATURE_COLUMNS, *CONTEXT_COLUMNS)
 
 
