@@ -33,7 +33,8 @@ def write_parquet(
         df = df.observe(watch, *[column.alias(name) for name, column in observed.items()])
     writer = df.write.mode(mode)
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        # The whole table is replaced, also partitions that are now empty.
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
     writer.parquet(path)
     return dict(watch.get) if watch else {}
 
