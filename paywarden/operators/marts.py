@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from paywarden.functions.rows import side_by_side
 from paywarden.functions.scores import severity_rank
 from paywarden.functions.times import parsed_timestamp
 
@@ -66,9 +67,9 @@ def kpis(counted_rows: DataFrame) -> DataFrame:
 
 def table_kpis(features: DataFrame, alerts: DataFrame, run_log: DataFrame | None = None) -> DataFrame:
     """The same totals from stored tables, with the end of the latest run."""
-    totals = one_row(
-        transactions_processed=features.agg(F.count(F.lit(1)).alias("transactions_processed")),
-        fraud_alerts=alerts.agg(F.count(F.lit(1)).alias("fraud_alerts")),
+    totals = side_by_side(
+        features.agg(F.count(F.lit(1)).alias("transactions_processed")),
+        alerts.agg(F.count(F.lit(1)).alias("fraud_alerts")),
     )
     rate = F.bround(ratio(F.col("fraud_alerts"), F.col("transactions_processed")), 4)
     result = totals.withColumn("fraud_rate", rate)
@@ -77,15 +78,6 @@ def table_kpis(features: DataFrame, alerts: DataFrame, run_log: DataFrame | None
     return result.withColumn("last_run_end", latest_run(run_log).select("end_time").scalar())
 
 
-def one_row(**aggregates: DataFrame) -> DataFrame:
-    """Put one-row aggregates side by side: a union, no join."""
-    stacked = None
-    for name, frame in aggregates.items():
-        frame = frame.select(name)
-        stacked = frame if stacked is None else stacked.unionByName(frame, allowMissingColumns=True)
-    return stacked.agg(*[F.max(name).alias(name) for name in aggregates])
-
-
 def latest_run(run_log: DataFrame) -> DataFrame:
     return run_log.orderBy(F.desc("end_time"), F.desc("pipeline_run_id")).limit(1)
 

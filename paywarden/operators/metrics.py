@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paywarden.operators.marts import one_row, ratio
+from paywarden.functions.rows import side_by_side
+from paywarden.operators.marts import ratio
 
 
 def _rows(df: DataFrame, name: str) -> DataFrame:
@@ -25,10 +26,10 @@ def run_metrics(
     silver: DataFrame, alerts: DataFrame, quarantine: DataFrame, started: float, ended: float
 ) -> DataFrame:
     """One row of counts from the stored tables; times are epoch seconds."""
-    counts = one_row(
-        total_transactions_processed=_rows(silver, "total_transactions_processed"),
-        fraud_alert_count=_rows(alerts, "fraud_alert_count"),
-        invalid_records=_rows(quarantine, "invalid_records"),
+    counts = side_by_side(
+        _rows(silver, "total_transactions_processed"),
+        _rows(alerts, "fraud_alert_count"),
+        _rows(quarantine, "invalid_records"),
     )
     return _completed(counts, started, ended)
 

@@ -9,9 +9,10 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from paywarden.functions.arrays import without_nulls
+from paywarden.functions.rows import side_by_side
 from paywarden.functions.times import parsed_timestamp
 from paywarden.schema import SILVER_SCHEMA, TRANSACTION_COLUMNS
 
@@ -44,31 +45,23 @@ def require_columns(df: DataFrame) -> DataFrame:
     return df
 
 
-def keep_one(df: DataFrame, keys: list[str], copies: str | None = None) -> DataFrame:
+def keep_one(df: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key: the greatest by the remaining columns, NULL lowest.
 
-    An aggregate rather than a ``row_number`` window: copies collapse inside
-    each map task, so a key with a third of all rows reaches its reducer as one
-    row per task.  The choice depends on values only, so a task that runs again
-    after an executor is lost picks the same row.  ``copies`` names an optional
-    output column with the number of rows seen for the key.
+    Asking for the first row of each key lets Spark drop all but one row per
+    key inside each map task, so a key with a third of all rows reaches its
+    reducer as one row per task.  The choice depends on values only: a task
+    that runs again after an executor is lost picks the same row.
     """
-    rest = [c for c in df.columns if c not in keys]
-    if rest:
-        aggregates = [F.max(F.struct(*rest)).alias("_kept")]
-        kept = [F.col(f"_kept.{c}").alias(c) if c in rest else F.col(c) for c in df.columns]
-    else:
-        aggregates = [F.count(F.lit(1)).alias("_kept")]
-        kept = [F.col(c) for c in df.columns]
-    if copies:
-        aggregates.append(F.count(F.lit(1)).alias(copies))
-        kept.append(F.col(copies))
-    return df.groupBy(*keys).agg(*aggregates).select(*kept)
-
-
-def deduplicate(df: DataFrame, copies: str | None = None) -> DataFrame:
+    rest = [F.col(f"`{c}`").desc() for c in df.columns if c not in keys]
+    best_first = W.partitionBy(*keys).orderBy(*(rest or [F.lit(1)]))
+    ranked = df.withColumn("_rank", F.row_number().over(best_first))
+    return ranked.where(F.col("_rank") == 1).drop("_rank")
+
+
+def deduplicate(df: DataFrame) -> DataFrame:
     """One row per transaction id; all NULL ids together count as one id."""
-    return keep_one(df, ["transaction_id"], copies)
+    return keep_one(df, ["transaction_id"])
 
 
 def normalize_timestamp(df: DataFrame) -> DataFrame:
@@ -155,17 +148,14 @@ def quarantine_reasons(bronze: DataFrame) -> DataFrame:
 
 
 def stage_counts(bronze: DataFrame) -> DataFrame:
-    """Row counts after each silver stage, from one pass over bronze."""
-    unique = normalize_timestamp(
-        deduplicate(require_columns(bronze), copies="_copies")
-    )
-    ok = complete(unique)
-    low = F.col("amount") <= 0
-    return unique.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).cast("long").alias("bronze_rows"),
+    """Row counts after each silver stage, all from one deduplication."""
+    unique = normalize_timestamp(deduplicate(require_columns(bronze)))
+    ok, low = complete(unique), F.col("amount") <= 0
+    counts = unique.agg(
         F.count(F.lit(1)).alias("unique_rows"),
         F.count_if(ok).alias("complete_rows"),
         F.count_if(~ok).alias("incomplete_rows"),
         F.count_if(ok & (F.col("amount") > 0)).alias("silver_rows"),
         (F.count_if(~ok) + F.count_if(low)).alias("quarantine_rows"),
     )
+    return side_by_side(bronze.agg(F.count(F.lit(1)).alias("bronze_rows")), counts)

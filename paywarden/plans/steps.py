@@ -80,6 +80,7 @@ def write_cleansed(bronze: DataFrame, cleansed_path: str) -> tuple[DataFrame, Da
         rows,
         cleansed_path,
         partition_by=["layer"],
+        open_partitions=2,
         observed={n: F.count_if(F.col("layer") == n) for n in (SILVER, QUARANTINE)},
     )
     spark = bronze.sparkSession
