@@ -17,6 +17,7 @@ from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from paywarden.functions.joins import join_lookup
 from paywarden.functions.times import epoch_second
 from paywarden.operators.user_windows import BEHAVIOUR_COLUMNS
 from paywarden.schema import FeatureConfig, SkewConfig
@@ -212,6 +213,11 @@ def first_seen_lookup(transactions: DataFrame) -> DataFrame:
     )
 
 
+def join_first_seen(rows: DataFrame, transactions: DataFrame) -> DataFrame:
+    """``rows`` with the first time of each user and device in ``transactions``."""
+    return join_lookup(rows, first_seen_lookup(transactions), ["user_id", "device_id"])
+
+
 def hot_user_columns(
     transactions: DataFrame,
     wanted: Collection[str] = tuple(BEHAVIOUR_COLUMNS),
@@ -227,7 +233,7 @@ def hot_user_columns(
     result = transactions
     if set(wanted) - {"first_seen_device_ts"}:
         values = _instant_values(transactions, wanted, config)
-        result = result.join(values, ["user_id", "timestamp"], "left")
+        result = join_lookup(result, values, ["user_id", "timestamp"])
     if "first_seen_device_ts" in wanted:
-        result = result.join(first_seen_lookup(transactions), ["user_id", "device_id"], "left")
+        result = join_first_seen(result, transactions)
     return result.select(*transactions.columns, *wanted)

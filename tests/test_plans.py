@@ -2,9 +2,11 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from frames import silver
 from paywarden.operators import marts, rules
-from paywarden.operators.features import behaviour, fraud_features
+from paywarden.operators.features import behaviour, first_seen_by_join, fraud_features
 from paywarden.operators.hot_users import hot_user_columns
 from paywarden.operators.scoring import compute_risk_score
 from paywarden.plans.steps import stage_features
@@ -80,3 +82,42 @@ def test_counts_combine_before_the_shuffle(spark):
 def test_lazy_score_needs_two_shuffles_at_most_per_pass(spark):
     text = plan(compute_risk_score(fraud_features(transactions(spark, SF))))
     assert "Join" not in text
+
+
+def test_skewed_keys_are_split_at_run_time(spark, tmp_path):
+    """A third of the rows with one user, device, location and instant."""
+    hot = F.col("id") % 3 == 0
+    other = F.pmod(F.hash("id"), F.lit(5000))
+    rows = spark.range(0, 200_000, 1, 8).select(
+        F.col("id").cast("string").alias("transaction_id"),
+        F.when(hot, "hot").otherwise(F.concat(F.lit("u"), other)).alias("user_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("merchant_id"),
+        F.lit(1.5).alias("amount"),
+        F.lit("x").alias("location"),
+        F.lit("d").alias("device_id"),
+        F.lit("upi").alias("payment_method"),
+        F.timestamp_seconds(F.when(hot, 0).otherwise(other)).alias("timestamp"),
+        F.lit("success").alias("transaction_status"),
+    )
+    rows.write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "500k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        for compute, joins in ((first_seen_by_join, 1), (hot_user_columns, 2)):
+            result = compute(stored)
+            count = result.toArrow().num_rows
+            text = result._jdf.queryExecution().executedPlan().toString()
+            assert text.split("== Initial Plan ==")[0].count("skew=true") == joins
+            assert count == 200_000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
