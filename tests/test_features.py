@@ -171,6 +171,26 @@ def test_both_paths_match_brute_force(spark, seed):
         assert got == expected
 
 
+def test_both_paths_agree_where_days_change_length(spark):
+    """Clocks went forward on 10 March 2024 in New York."""
+    rows = silver(
+        spark,
+        [
+            {"transaction_id": f"t{i:03d}", "device_id": f"d{i % 7}", "location": "xyz"[i % 3],
+             "timestamp": dt.datetime(2024, 3, 9, 22, tzinfo=dt.timezone.utc) + dt.timedelta(minutes=17 * i)}
+            for i in range(200)
+        ],
+    )
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        plain, split = (compute(rows).drop("average_transaction_amount") for compute in PATHS)
+        assert plain.exceptAll(split).count() == 0 and split.count() == 200
+        days = plain.where("daily_transaction_count = 1").select("transaction_id").collect()
+        assert len(days) == 4
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_hot_users_are_found_by_size(spark):
     rows = silver(spark, [{"user_id": u} for u in "aaaabbbcc"])
     assert sorted(find_hot_users(rows, SkewConfig(hot_rows=2))) == ["a", "b"]
