@@ -32,9 +32,13 @@ def run_medallion(
     out_dir: str,
     fallback: DataFrame | None = None,
     settings: Settings = Settings(),
+    fallback_source: str = "synthetic",
 ) -> Run:
     """Run all steps and log the run, also when it fails.
 
+    The newest CSV in ``uploaded_dir`` is taken; without one, ``fallback``
+    (a table, or an upload read by ``read_json``), logged as ``fallback_source``.
+
     Tables go to ``bronze/``, ``cleansed/layer=silver|quarantine/`` and
     ``gold/`` below ``out_dir``; the log is ``gold/pipeline_metadata.parquet``.
     """
@@ -43,7 +47,7 @@ def run_medallion(
     started, start_time = time.time(), datetime.now()
     source, records = "unknown", 0
     try:
-        incoming, source = ingest(spark, uploaded_dir, fallback)
+        incoming, source = ingest(spark, uploaded_dir, fallback, fallback_source)
         bronze_path = f"{root}/bronze/transactions_bronze.parquet"
         write_bronze(incoming, bronze_path)
         bronze = read_parquet(spark, bronze_path, incoming.schema)

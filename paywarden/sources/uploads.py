@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paywarden.schema import BRONZE_SCHEMA
@@ -56,32 +57,39 @@ def latest_upload(spark: SparkSession, folder: str) -> str | None:
     """Path of the CSV in ``folder`` that changed last, None if there is none.
 
     A CSV may be a file or a folder of part files, as Spark writes it.  Only
-    the listing is read, not the files; ties go to the greater name.
+    the listing is read, not the files; ties go to the greater name.  A folder
+    that does not exist holds no uploads.
     """
-    root = folder.rstrip("/")
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .load(root)
-        .select("path", "modificationTime")
-    )
-    # Everything up to the first ".csv" below the folder is one upload.
-    name = F.regexp_extract(F.split_part("path", F.lit(f"{root}/"), F.lit(-1)), r"^([^/]*\.csv)(/|$)", 1)
+    try:
+        listing = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.csv")
+            .load(folder)
+            .select("path", "modificationTime")
+        )
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    # A path up to its first part that ends in ".csv" is one upload.
+    upload = F.regexp_extract("path", r"^(.*?/[^/]+\.csv)(/.*)?$", 1)
     newest = (
-        listing.withColumn("upload", name)
-        .where(F.col("upload") != "")
+        listing.withColumn("upload", upload)
         .groupBy("upload")
         .agg(F.max("modificationTime").alias("changed"))
         .orderBy(F.desc("changed"), F.desc("upload"))
         .limit(1)
         .collect()
     )
-    return f"{root}/{newest[0].upload}" if newest else None
+    return newest[0].upload if newest else None
 
 
 def ingest(
-    spark: SparkSession, upload_folder: str, fallback: DataFrame | None = None
+    spark: SparkSession,
+    upload_folder: str,
+    fallback: DataFrame | None = None,
+    fallback_source: str = "synthetic",
 ) -> tuple[DataFrame, str]:
     """The newest upload, else the fallback, and which of the two it was."""
     path = latest_upload(spark, upload_folder)
@@ -89,4 +97,4 @@ def ingest(
         return read_csv(spark, path), "uploaded"
     if fallback is None:
         raise ValueError(f"no CSV in {upload_folder} and no fallback given")
-    return fallback, "synthetic"
+    return fallback, fallback_source

@@ -45,6 +45,20 @@ def test_equal_times_go_to_the_greater_name(spark, tmp_path):
     assert uploads.latest_upload(spark, str(tmp_path)).endswith("/c.csv")
 
 
+def test_folder_names_with_blanks_and_relative_folders(spark, tmp_path):
+    folder = tmp_path / "my uploads"
+    folder.mkdir()
+    put(folder / "a b.csv", HEADER, LINE)
+    assert uploads.ingest(spark, str(folder))[0].count() == 1
+    relative = os.path.relpath(folder)
+    assert uploads.ingest(spark, relative)[0].count() == 1
+
+
+def test_folder_that_does_not_exist_holds_no_uploads(spark, tmp_path):
+    rows, source = uploads.ingest(spark, str(tmp_path / "none"), bronze(spark, [{}]), "uploaded")
+    assert rows.count() == 1 and source == "uploaded"
+
+
 def test_written_csv_is_found_and_read_back(spark, tmp_path):
     rows = bronze(spark, [{"location": 'a "b", c'}, {"transaction_id": "z", "amount": None}])
     path = tables.write_csv(rows.repartition(2), str(tmp_path), "uploaded")
