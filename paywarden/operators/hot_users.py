@@ -2,8 +2,9 @@
 
 One account (a test terminal, an aggregator, a default id) can hold a third of
 all rows, and its window partition cannot be split.  But every behavioural
-column is the same for all rows of a user at one instant, and is a running sum
-of changes over time.  So the changes are summed per user and instant, partly
+column except the first time on a device (an ordinary grouped minimum) is the
+same for all rows of a user at one instant, and is a running sum of changes
+over time.  So the changes are summed per user and instant, partly
 before the shuffle already, running totals are taken inside one-minute blocks,
 and the totals of earlier blocks are added on top.  The groups the windows see
 are the distinct instants of one minute, one user's list of minutes, and the

@@ -18,7 +18,6 @@ from paywarden.operators.rules import detect_fraud_rules
 from paywarden.operators.scoring import compute_risk_score, score_bounds
 from paywarden.schema import (
     CONTEXT_COLUMNS,
-    SCORED_COLUMNS,
     FeatureConfig,
     RuleConfig,
     ScoreConfig,
