@@ -10,7 +10,7 @@ lie in a window is the same wherever that window occurs.
 
 A window is looked up by the first of its highest such symbols (or by its own
 name if it has none).  Symbols met in one document only are done with after
-one aggregation.  Windows around the others are verified by exact comparison
+one count.  Windows around the others are verified by exact comparison
 of their names across documents.  Symbols in very many documents are known
 from the aggregation; their windows are dealt out by window and salt.
 """
@@ -111,8 +111,12 @@ def _emit_symbols(size: int):
         for batch in w.chunks(batches, "text"):
             _, key, text = window_symbols(w.words_of(batch, "text"), size)
             new = _distinct(key, text)
-            ids = batch.column("id").take(pa.array(text[new]))
-            yield pa.RecordBatch.from_arrays([pa.array(key[new].view(np.int64)), ids], ["key", "id"])
+            key, text = key[new], text[new]
+            # Each symbol once for each text.
+            order = np.lexsort((key, text))
+            key, text = key[order], text[order]
+            key = key[_distinct(key, text)]
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], ["key"])
 
     return run
 
@@ -124,14 +128,28 @@ def _emit_windows(size: int, shared, hot):
             pick = shared.has(key)
             window, key, text = window[pick], key[pick], text[pick]
             ids = batch.column("id").take(pa.array(text))
-            is_hot = np.isin(key, hot.value)
+            salt = 1 + (w.mix(np.asarray(ids).view(np.uint64)) % np.uint64(_SALTS)).astype(np.int32)
+            salt[~np.isin(key, hot.value)] = 0
             yield pa.RecordBatch.from_arrays(
-                [pa.array(window.view(np.int64)), ids, pa.array(is_hot)], ["window", "id", "hot"]
+                [pa.array(window.view(np.int64)), ids, pa.array(salt)], ["window", "id", "salt"]
             )
 
     return run
 
 
+def _pick(touched, wanted: bool):
+    """Rows whose id the filter has, or has not; without windows so far."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spread = np.asarray(batch.column("spread"), np.int64)
+            rows = batch.select(["id", "text"]).filter(pa.array(touched.has(spread) == wanted))
+            none = pa.nulls(rows.num_rows, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*rows.columns, none], ["id", "text", "windows"])
+
+    return run
+
+
 def _cut(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in w.chunks(batches, "text"):
@@ -169,13 +187,8 @@ def shared_windows(docs: DataFrame, size: int) -> DataFrame:
     """(id, window) for each window that a document with a smaller id has too."""
     spark = docs.sparkSession
     docs = docs.where(F.col("id").isNotNull())
-    symbols = docs.mapInArrow(_emit_symbols(size), "key long, id long")
-    keys = (
-        symbols.groupBy("key")
-        .agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count("*").alias("n"))
-        .where("a < b")
-        .select("key", "n")
-    )
+    symbols = docs.mapInArrow(_emit_symbols(size), "key long")
+    keys = symbols.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     keys = stage(keys, "symbols")
     n_keys, n_rows = keys.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     # At most _HOT_SHARE symbols can have so many rows.
@@ -183,14 +196,14 @@ def shared_windows(docs: DataFrame, size: int) -> DataFrame:
     hot = np.array([r.key for r in keys.where(F.col("n") > limit).collect()], np.int64)
     shared = key_filter(keys, "key", n_keys)
     hot = spark.sparkContext.broadcast(np.sort(hot.view(np.uint64)))
-    rows = docs.mapInArrow(_emit_windows(size, shared, hot), "window long, id long, hot boolean")
-    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("id"), F.lit(_SALTS))).otherwise(F.lit(0))
+    rows = docs.mapInArrow(_emit_windows(size, shared, hot), "window long, id long, salt int")
     own = Window.partitionBy("window", "salt").orderBy("id")
-    rows = rows.withColumn("salt", salt).withColumn("first", F.first("id").over(own))
+    rows = rows.withColumn("first", F.first("id").over(own)).where("first < id or salt > 0")
+    rows = stage(rows.select("window", "id", "first"), "windows")
     later = rows.where("first < id").select("id", "window")
     # Of a hot window each salt's first document is left: few rows, compared once more.
     again = Window.partitionBy("window").orderBy("id")
-    firsts = rows.where("hot and first = id").withColumn("first", F.first("id").over(again))
+    firsts = rows.where("first = id").withColumn("first", F.first("id").over(again))
     return later.union(firsts.where("first < id").select("id", "window"))
 
 
@@ -211,6 +224,13 @@ def remove_repeats(
     kind = docs.schema[id_col].dataType
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     gone = shared_windows(docs, size).groupBy("id").agg(F.collect_set("window").alias("windows"))
-    joined = docs.join(gone, "id", "left")
-    out = joined.mapInArrow(_cut(size), "id long, n_words long, n_removed long, kept string")
+    gone = stage(gone.withColumn("spread", F.xxhash64("id")), "gone")
+    touched = key_filter(gone, "spread", gone.count())
+    docs = docs.withColumn("spread", F.xxhash64("id"))
+    schema = "id long, n_words long, n_removed long, kept string"
+    # Texts that lose nothing are done where they lie; only the others are shuffled.
+    whole = docs.mapInArrow(_pick(touched, False), "id long, text string, windows array<long>")
+    some = docs.mapInArrow(_pick(touched, True), "id long, text string, windows array<long>")
+    some = some.drop("windows").join(gone.drop("spread"), "id", "left")
+    out = whole.mapInArrow(_cut(size), schema).union(some.mapInArrow(_cut(size), schema))
     return out.select(F.col("id").cast(kind).alias(id_col), "n_words", "n_removed", "kept")
