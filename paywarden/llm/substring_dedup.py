@@ -229,8 +229,9 @@ def remove_repeats(
     docs = docs.withColumn("spread", F.xxhash64("id"))
     schema = "id long, n_words long, n_removed long, kept string"
     # Texts that lose nothing are done where they lie; only the others are shuffled.
-    whole = docs.mapInArrow(_pick(touched, False), "id long, text string, windows array<long>")
+    pick, cut = _pick(touched, False), _cut(size)
+    whole = docs.mapInArrow(lambda batches: cut(pick(batches)), schema)
     some = docs.mapInArrow(_pick(touched, True), "id long, text string, windows array<long>")
     some = some.drop("windows").join(gone.drop("spread"), "id", "left")
-    out = whole.mapInArrow(_cut(size), schema).union(some.mapInArrow(_cut(size), schema))
+    out = whole.union(some.mapInArrow(cut, schema))
     return out.select(F.col("id").cast(kind).alias(id_col), "n_words", "n_removed", "kept")
