@@ -2,23 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from paywarden.llm.decontamination import find_leaks
 from paywarden.llm.exact_dedup import drop_exact_copies
+from paywarden.llm.jaccard_join import jaccard_components
+from paywarden.llm.language_id import UNKNOWN, learn, predict
+from paywarden.llm.sentencepiece import encode
 from paywarden.llm.tables import stage as _written
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language go: null texts and texts without a letter."""
+    columns = docs.columns
+    rows = predict(docs, learn(docs))
+    return rows.where(F.col("lang_pred") != UNKNOWN).select(*columns)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of identical texts the row with the largest id stays."""
     return drop_exact_copies(docs)
 
 
-STAGES = [("exact_dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles at 0.8 the one with the smallest id stays."""
+    kept = jaccard_components(docs, size=5, percent=80).where("doc_id <=> component_id").select("doc_id")
+    return docs.join(kept.distinct(), docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    leaks = find_leaks(docs, items).select("doc_id").distinct()
+    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of what is left, with their number."""
+    return encode(docs)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("sentencepiece", tokens),
+]
 
+#: Language profiles and byte-level tokens are beyond SQL; tests/llm has a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each reads what the one before wrote."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES:
         docs = _written(step(spark, docs, sf_dir), f"pipeline-{name}")

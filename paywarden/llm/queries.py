@@ -6,9 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from paywarden.llm import secrets
+from paywarden.llm import language_id, personal_data, secrets
+from paywarden.llm.chat_format import formatted_digests
+from paywarden.llm.decontamination import find_leaks
 from paywarden.llm.exact_dedup import exact_dedup
 from paywarden.llm.jaccard_join import jaccard_components
+from paywarden.llm.license_scan import scan_licenses
+from paywarden.llm.personal_data import find_personal_data
+from paywarden.llm.sentencepiece import encode
 from paywarden.llm.substring_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +34,44 @@ def _count(kind: int) -> Column:
     return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_documents(spark, sf_dir))
+
+
+def held_out(docs: DataFrame) -> DataFrame:
+    """The documents with a column that tells which ones nothing is learned from."""
+    third = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    return docs.withColumn("held_out", F.coalesce(third, F.lit(False)))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = held_out(_documents(spark, sf_dir))
+    prototypes = language_id.learn(docs.where("not held_out"))
+    return language_id.predict(docs, prototypes, keep=["doc_id", "held_out"])
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(_documents(spark, sf_dir))
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    probe = [(-1, 0, "user", text), (-1, 1, "assistant", text)]
+    return formatted_digests(rows.union(spark.createDataFrame(probe, rows.schema)))
+
+
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = find_personal_data(_documents(spark, sf_dir))
+    base = F.filter("spans", lambda x: x["kind"] < 4)
+    return rows.select(
+        "doc_id",
+        *[_count(i).alias(f"n_{k}") for i, k in enumerate(personal_data.KINDS[:4])],
+        F.sha2(_joined(base, personal_data.KINDS), 256).alias("base_sha256"),
+        _joined(F.col("spans"), personal_data.KINDS).alias("spans"),
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir))
 
@@ -49,9 +92,25 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_documents(spark, sf_dir))
 
 
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op6_exact_dedup, op7_substring_dedup, op8_secret_scan, op10_jaccard_join)}
+    made = (
+        op1_license_scan,
+        op2_language_id,
+        op3_sentencepiece,
+        op4_chat_format,
+        op5_personal_data,
+        op6_exact_dedup,
+        op7_substring_dedup,
+        op8_secret_scan,
+        op9_decontamination,
+        op10_jaccard_join,
+    )
+    return {f.__name__: f for f in made}
