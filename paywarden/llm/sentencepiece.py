@@ -76,7 +76,7 @@ class Pieces:
     """Pieces with scores, and what encoding and decoding need of them."""
 
     def __init__(self, pieces: list[str], scores: list[float], ordinary: list[bool], byte_ids: list[int]):
-        self.scores, self.byte_ids = scores, byte_ids
+        self.scores, self.byte_ids, self._encoder = scores, byte_ids, None
         own = {p: i for i, p in enumerate(pieces) if ordinary[i]}
         if any(_MARK in p.lstrip(_MARK) for p in own):
             raise ValueError("a piece holds a marker after text")
@@ -86,6 +86,15 @@ class Pieces:
         plain = [p.replace(_MARK, " ").encode() if ordinary[i] else b"" for i, p in enumerate(pieces)]
         self.bytes = [raw.get(i, b) for i, b in enumerate(plain)]
 
+    def encoder(self) -> _Encoder:
+        """One for each Python process, so that its tasks share what is remembered."""
+        if self._encoder is None:
+            self._encoder = _Encoder(self)
+        return self._encoder
+
+    def __getstate__(self):
+        return self.__dict__ | {"_encoder": None}
+
     @classmethod
     def load(cls, path: str) -> Pieces:
         import sentencepiece
@@ -100,6 +109,7 @@ class Pieces:
     def best(self, segment: str) -> list[int]:
         """The best path; of equal ones the one whose last piece starts first."""
         codes, base, check, value = self.trie.codes, self.trie.base, self.trie.check, self.trie.value
+        scores, unknown = self.scores, self.unknown
         n, size = len(segment), len(check)
         # A space is looked up as the marker; a marker in the text is not a piece.
         at = [codes.get(_MARK, 0) if ch == " " else 0 if ch == _MARK else codes.get(ch, 0) for ch in segment]
@@ -117,11 +127,11 @@ class Pieces:
                 piece = value[node]
                 if piece >= 0:
                     single |= j == i
-                    s = here + self.scores[piece]
+                    s = here + scores[piece]
                     if s > score[j + 1]:
                         score[j + 1], back[j + 1] = s, (i, piece)
-            if not single and here + self.unknown > score[i + 1]:
-                score[i + 1], back[i + 1] = here + self.unknown, (i, -1)
+            if not single and here + unknown > score[i + 1]:
+                score[i + 1], back[i + 1] = here + unknown, (i, -1)
         out: list[int] = []
         while n:
             i, piece = back[n]
@@ -139,16 +149,19 @@ class Pieces:
 
 
 class _Encoder(dict):
-    """Remembers segments' ids, as bytes, up to a bound."""
+    """Remembers segments' ids, as bytes: the newest, and the ones before them."""
 
     def __init__(self, pieces: Pieces):
-        self.pieces = pieces
+        self.pieces, self.before = pieces, {}
 
     def __missing__(self, segment: str) -> bytes:
-        if len(self) >= _REMEMBERED:
-            self.clear()
-        ids = array("i", self.pieces.best(segment)).tobytes()
+        ids = self.before.get(segment)
+        if ids is None:
+            ids = array("i", self.pieces.best(segment)).tobytes()
         if len(segment) < 64:
+            if len(self) >= _REMEMBERED:
+                self.before = dict(self)
+                self.clear()
             self[segment] = ids
         return ids
 
@@ -170,7 +183,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared.value
-        encoder = _Encoder(pieces)
+        encoder = pieces.encoder()
         is_byte = np.zeros(len(pieces.bytes), bool)
         is_byte[pieces.byte_ids] = True
         for batch in w.chunks(batches, "text"):
