@@ -58,22 +58,19 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns; one of rows repeating id and text.
-
-    The columns ``_digest`` and ``_rows`` are used on the way; columns of these
-    names in the input would be refused by Spark as ambiguous.
-    """
-    columns = docs.columns
+    """The rows that stay, with all their columns; one of rows repeating id and text."""
     kept = (
         exact_dedup(docs, id_col, text_col)
         .where("kept")
-        .groupBy(F.col("text_sha256").alias("_digest"), F.col(id_col).alias("_id"))
-        .agg(F.count("*").alias("_rows"))
-    )
-    rows = docs.withColumn("_digest", _digests(docs, text_col))
-    own = rows.join(kept, (rows[id_col].eqNullSafe(kept["_id"])) & (rows["_digest"] == kept["_digest"])).select(
-        *[docs[c] for c in columns], kept["_digest"], "_rows"
+        .groupBy(F.col("text_sha256").alias("digest"), F.col(id_col).alias("id"))
+        .agg(F.count("*").alias("n_rows"))
     )
-    once = own.where("_rows = 1")
-    repeated = own.where("_rows > 1").dropDuplicates([id_col, "_digest"])
-    return once.union(repeated).select(*columns)
+    # Columns travel under their places, so that no name can clash.
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    id_name, text_name = (names[docs.columns.index(c)] for c in (id_col, text_col))
+    rows = docs.toDF(*names)
+    same = _digests(rows, text_name) == F.col("digest")
+    own = rows.join(kept, F.col(id_name).eqNullSafe(F.col("id")) & same)
+    once = own.where("n_rows = 1")
+    repeated = own.where("n_rows > 1").dropDuplicates([id_name, "digest"])
+    return once.union(repeated).select(*names).toDF(*docs.columns)

@@ -112,8 +112,8 @@ def predict(
     keep = docs.columns if keep is None else keep
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in w.chunks(batches, "_text"):
-            own = profiles([t or "" for t in batch.column("_text").to_pylist()])
+        for batch in w.chunks(batches, "text"):
+            own = profiles([t or "" for t in batch.column("text").to_pylist()])
             size = np.linalg.norm(own, axis=1)
             best, score = np.full(len(own), len(langs)), np.zeros(len(own))
             if len(langs):
@@ -121,12 +121,14 @@ def predict(
                 known = size > 0
                 best[known] = near.argmax(axis=1)[known]
                 score[known] = np.clip(near.max(axis=1), 0, 1)[known]
-            rest = batch.drop_columns(["_text"])
+            rest = batch.drop_columns(["text"])
             yield pa.RecordBatch.from_arrays(
                 [*rest.columns, pa.array([names[i] for i in best.tolist()], pa.string()), pa.array(score)],
                 [*rest.schema.names, "lang_pred", "score"],
             )
 
-    rows = docs.select(*keep, F.col(text_col).cast("string").alias("_text"))
-    schema = rows.drop("_text").schema.add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(run, schema)
+    # Columns travel under their places, so that no name can clash.
+    own = [F.col(c).alias(f"c{i}") for i, c in enumerate(keep)]
+    schema = docs.select(*own).schema.add("lang_pred", "string").add("score", "double")
+    rows = docs.select(*own, F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, schema).toDF(*keep, "lang_pred", "score")

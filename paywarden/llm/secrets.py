@@ -70,13 +70,21 @@ def _p_normal(z: Column) -> Column:
     return 1 / (1 + F.exp(F.lit(1.5976) * z + F.lit(0.07056) * z * z * z))
 
 
+def _equals(value: int):
+    return lambda x: x == value
+
+
+def _of_kind(kind: int):
+    return lambda x: F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end"))
+
+
 def _p_random(values: Column, n_symbols: Column) -> Column:
     """p-value of the battery for symbol values 0 to n_symbols - 1."""
     n = F.size(values).cast("double")
     part = F.transform(values, lambda v: F.floor(v * 4 / n_symbols))
     chi = F.lit(0.0)
     for k in range(4):
-        count = F.size(F.filter(part, lambda x, k=k: x == k))
+        count = F.size(F.filter(part, _equals(k)))
         chi = chi + F.pow(count - n / 4, 2) / (n / 4)
     # Wilson and Hilferty's normal form of a chi-squared value with three degrees of freedom.
     p_chi = _p_normal((F.pow(chi / 3, 1 / 3) - (1 - 2 / 27)) / (2 / 27) ** 0.5)
@@ -122,10 +130,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = rows.select(id_col, *[x.alias(k) for x, k in zip(found, KINDS)], _tokens(t).alias("tokens"))
     rows = rows.withColumn("tested", F.transform("tokens", _tested))
     rows = rows.withColumn("random", _not_rejected(F.col("tested")))
-    spans = [
-        F.transform(k, lambda x, i=i: F.struct(x["start"].alias("start"), F.lit(i).alias("kind"), x["end"].alias("end")))
-        for i, k in enumerate(KINDS)
-    ]
+    spans = [F.transform(k, _of_kind(i)) for i, k in enumerate(KINDS)]
     return rows.select(id_col, F.array_sort(F.concat(*spans)).alias("spans"))
 
 
