@@ -21,12 +21,12 @@ session time zone.
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame
 
 from paywarden.functions.times import with_timestamp
-from paywarden.operators.hot_users import find_hot_users, hot_user_columns, is_hot, join_first_seen
+from paywarden.operators.hot_users import find_hot_users, hot_user_columns, join_first_seen, split_hot
 from paywarden.operators.user_windows import BEHAVIOUR_COLUMNS, user_window_columns
 from paywarden.schema import CONTEXT_COLUMNS, FEATURE_COLUMNS, FeatureConfig, SkewConfig
 
@@ -36,24 +36,24 @@ def behaviour(
     wanted: Collection[str] = tuple(BEHAVIOUR_COLUMNS),
     config: FeatureConfig = FeatureConfig(),
     skew: SkewConfig = SkewConfig(),
-    hot_users: Sequence[str] | None = None,
+    hot_users: DataFrame | None = None,
 ) -> DataFrame:
     """``transactions`` plus the wanted columns.
 
     Users over ``skew.hot_rows`` rows go through ``hot_user_columns``, all
-    others through ``user_window_columns``.  ``hot_users`` gives the list of
-    the former when it is known; by default one small job over the id column
-    finds it, so ``transactions`` should be a stored table.
+    others through ``user_window_columns``; both give the same values.
+    ``hot_users`` is the table of the former (column user_id) when it is known;
+    by default one small job over the id column sees whether there are any, so
+    ``transactions`` should be a stored table.
     """
     transactions = with_timestamp(transactions)
     if hot_users is None:
         hot_users = find_hot_users(transactions, skew)
-    if not hot_users:
-        return user_window_columns(transactions, wanted, config)
-    hot = is_hot(hot_users, skew)
-    plain = user_window_columns(transactions.where(~hot), wanted, config)
-    split = hot_user_columns(transactions.where(hot), wanted, config)
-    return plain.unionByName(split)
+        if hot_users.isEmpty():
+            return user_window_columns(transactions, wanted, config)
+    hot, others = split_hot(transactions, hot_users)
+    plain = user_window_columns(others, wanted, config)
+    return plain.unionByName(hot_user_columns(hot, wanted, config))
 
 
 def fraud_features(transactions: DataFrame, **options) -> DataFrame:

@@ -14,7 +14,7 @@ the data spans, none by how many rows there are.
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -33,33 +33,26 @@ _SLIDING = ["_velocity", "_burst", "_places"]
 _FIRST_SEEN = {"device_switch_frequency": "device_id", "location_change_rate": "location"}
 
 
-def find_hot_users(transactions: DataFrame, config: SkewConfig = SkewConfig()) -> list[str]:
-    """Ids with more than ``hot_rows`` rows; one more than the limit if too many.
+def find_hot_users(transactions: DataFrame, config: SkewConfig = SkewConfig()) -> DataFrame:
+    """Ids with more than ``hot_rows`` rows, as a table of one row each.
 
-    Reads the id column only, counts before it shuffles, and brings at most
-    ``max_hot_users + 1`` ids to the driver.
+    It reads the id column only and counts before it shuffles.  However many
+    such users there are, none is collected: the table is joined to the rows.
     """
-    hot = (
+    return (
         transactions.where(F.col("user_id").isNotNull())
         .groupBy("user_id")
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > config.hot_rows)
         .select("user_id")
-        .limit(config.max_hot_users + 1)
     )
-    return [row.user_id for row in hot.collect()]
 
 
-def is_hot(hot_users: Sequence[str], config: SkewConfig = SkewConfig()) -> Column:
-    """Rows for the split path; never NULL, so its negation keeps the others.
-
-    More ids than the limit mean that big users are the rule, and then all rows
-    with a user and a time take the split path.
-    """
-    known = F.col("user_id").isNotNull() & F.col("timestamp").isNotNull()
-    if len(hot_users) > config.max_hot_users:
-        return known
-    return known & F.coalesce(F.col("user_id").isin(list(hot_users)), F.lit(False))
+def split_hot(transactions: DataFrame, hot_users: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows for the split path, and all others; rows without a user are among these."""
+    hot = hot_users.select(F.col("user_id").alias("_hot_user"))
+    own = F.col("user_id") == F.col("_hot_user")
+    return transactions.join(hot, own, "left_semi"), transactions.join(hot, own, "left_anti")
 
 
 def _change(at: Column, **amounts: Column) -> Column:

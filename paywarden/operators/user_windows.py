@@ -35,7 +35,7 @@ def _at_location():
 
 
 def _on_device():
-    return W.partitionBy("user_id", "device_id").orderBy("timestamp")
+    return W.partitionBy("user_id", "device_id").orderBy(F.col("timestamp").asc_nulls_last())
 
 
 def _until_now():
@@ -80,7 +80,13 @@ def user_window_columns(
             "_begins": _stay_edge(F.lag("_second").over(location), stay),
             "_ends": _stay_edge(F.lead("_second").over(location), stay),
         },
-        "first_seen_device_ts": {"first_seen_device_ts": F.min("timestamp").over(device)},
+        # A row without a user or a device matches no earlier one.
+        "first_seen_device_ts": {
+            "first_seen_device_ts": F.when(
+                F.col("user_id").isNotNull() & F.col("device_id").isNotNull(),
+                F.min("timestamp").over(device),
+            )
+        },
     }
     columns = {
         "transaction_velocity": _count_last(config.velocity_seconds),
@@ -102,6 +108,11 @@ def user_window_columns(
     helpers = {name: column for w in wanted for name, column in flags.get(w, {}).items()}
     flagged = timed.withColumns(helpers) if helpers else timed
     counted = flagged.withColumn("_so_far", F.count("transaction_id").over(_until_now()))
-    return counted.withColumns({c: columns[c] for c in wanted}).select(
+    # No frame around a row without a time.
+    timeless = F.col("timestamp").isNull()
+    values = {c: columns[c] for c in wanted}
+    for c in set(wanted) - {"first_seen_device_ts"}:
+        values[c] = F.when(~timeless, values[c])
+    return counted.withColumns(values).select(
         *transactions.columns, *wanted
     )

@@ -89,8 +89,13 @@ def write_cleansed(bronze: DataFrame, cleansed_path: str) -> tuple[DataFrame, Da
 
 def run_silver_layer(spark: SparkSession, bronze_path: str, cleansed_path: str) -> tuple[str, str]:
     """Clean a bronze table; returns the paths of silver and quarantine."""
-    write_cleansed(read_parquet(spark, bronze_path), cleansed_path)
-    return layer_path(cleansed_path, SILVER), layer_path(cleansed_path, QUARANTINE)
+    silver, rejected, counts = write_cleansed(read_parquet(spark, bronze_path), cleansed_path)
+    paths = {n: layer_path(cleansed_path, n) for n in (SILVER, QUARANTINE)}
+    for layer, rows in ((SILVER, silver), (QUARANTINE, rejected)):
+        if not counts[layer]:
+            # A table without rows is still a table to the steps that read it by path.
+            write_parquet(rows, paths[layer])
+    return paths[SILVER], paths[QUARANTINE]
 
 
 def _feature_columns(silver: DataFrame, settings: Settings) -> DataFrame:

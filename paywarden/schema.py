@@ -81,13 +81,11 @@ class FeatureConfig:
 class SkewConfig:
     """When a user is too big for one task.
 
-    A user with more than ``hot_rows`` rows takes the split path.  The list of
-    such users is part of the plan, so it is kept to ``max_hot_users`` ids; if
-    there are more of them, all users take the split path.
+    A user with more than ``hot_rows`` rows takes the split path, which gives
+    the same values.
     """
 
     hot_rows: int = 5_000_000
-    max_hot_users: int = 1000
 
 
 @dataclass(frozen=True)

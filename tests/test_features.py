@@ -157,7 +157,7 @@ def test_both_paths_match_brute_force(spark, seed):
         lambda t: user_window_columns(t),
         lambda t: hot_user_columns(t),
         lambda t: behaviour(t, skew=SkewConfig(hot_rows=150)),
-        lambda t: behaviour(t, skew=SkewConfig(hot_rows=10, max_hot_users=1)),
+        lambda t: behaviour(t, skew=SkewConfig(hot_rows=10)),
     ):
         got = {
             r["transaction_id"]: (
@@ -193,15 +193,39 @@ def test_both_paths_agree_where_days_change_length(spark):
 
 def test_hot_users_are_found_by_size(spark):
     rows = silver(spark, [{"user_id": u} for u in "aaaabbbcc"])
-    assert sorted(find_hot_users(rows, SkewConfig(hot_rows=2))) == ["a", "b"]
-    assert find_hot_users(rows, SkewConfig(hot_rows=4)) == []
-    # One more than the limit comes back, as the sign that there are too many.
-    assert len(find_hot_users(rows, SkewConfig(hot_rows=0, max_hot_users=1))) == 2
+    found = find_hot_users(rows, SkewConfig(hot_rows=2)).collect()
+    assert sorted(r.user_id for r in found) == ["a", "b"]
+    assert find_hot_users(rows, SkewConfig(hot_rows=4)).isEmpty()
+    assert find_hot_users(rows, SkewConfig(hot_rows=0)).count() == 3
+
+
+def test_the_size_of_users_changes_no_value(spark):
+    rng = random.Random(11)
+    start = dt.datetime(2024, 5, 1, 22, tzinfo=dt.timezone.utc)
+    rows = silver(
+        spark,
+        [
+            {
+                "transaction_id": f"t{i}",
+                "user_id": rng.choice(["a", "a", "b", None]),
+                "amount": rng.choice([float(rng.randrange(500)), None]),
+                "location": rng.choice(["x", "y", None]),
+                "device_id": rng.choice(["d1", "d2", None]),
+                "timestamp": rng.choice([start + dt.timedelta(seconds=rng.randrange(9000)), None]) if i % 4 == 0
+                else start + dt.timedelta(seconds=rng.randrange(9000)),
+            }
+            for i in range(300)
+        ],
+    )
+    plain, *others = (behaviour(rows, skew=SkewConfig(hot_rows=n)) for n in (5_000_000, 75, 1))
+    for other in others:
+        assert plain.exceptAll(other).count() == 0 == other.exceptAll(plain).count()
+    assert plain.where("device_id is null and first_seen_device_ts is not null").count() == 0
 
 
 def test_rows_without_user_or_time_are_kept(spark):
     rows = silver(spark, [{"user_id": None}, {"timestamp": None}, {}, {}])
-    for skew in (SkewConfig(), SkewConfig(hot_rows=1), SkewConfig(hot_rows=0, max_hot_users=0)):
+    for skew in (SkewConfig(), SkewConfig(hot_rows=1), SkewConfig(hot_rows=0)):
         assert behaviour(rows, skew=skew).count() == 4
 
 

@@ -121,3 +121,18 @@ def test_steps_on_paths(spark, incoming, tmp_path):
     assert seen["rows"] == read_parquet(spark, silver_path).count()
     gold = steps.run_gold_layer(spark, silver_path, str(tmp_path / "gold"))
     assert gold.rows == seen["rows"]
+
+
+def test_path_steps_on_clean_and_on_all_bad_input(spark, tmp_path):
+    from paywarden.plans.steps import compute_pipeline_metrics, run_gold_layer, run_silver_layer
+    from paywarden.schema import BRONZE_SCHEMA
+
+    row = ("t", "u", "m", 5.0, "x", "d", "card", "2024-01-01 00:00:00", "ok")
+    for name, amount, expected in (("good", 5.0, (1, 0)), ("bad", -5.0, (0, 1))):
+        bronze = str(tmp_path / name / "bronze")
+        spark.createDataFrame([(*row[:3], amount, *row[4:])], BRONZE_SCHEMA).write.parquet(bronze)
+        silver_path, rejected_path = run_silver_layer(spark, bronze, str(tmp_path / name / "cleansed"))
+        gold = str(tmp_path / name / "gold")
+        run_gold_layer(spark, silver_path, gold)
+        got = compute_pipeline_metrics(spark, silver_path, f"{gold}/fraud_alerts.parquet", rejected_path, 0.0, 1.0)
+        assert (got["total_transactions_processed"], got["invalid_records"]) == expected

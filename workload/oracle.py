@@ -278,6 +278,12 @@ GROUP BY 1""",
         + """SELECT p AS total_transactions_processed, a AS fraud_alert_count,
        CASE WHEN p > 0 THEN a::DOUBLE / p ELSE 0.0 END AS fraud_rate,
        q AS invalid_records, 12.34::DOUBLE AS pipeline_runtime_seconds
+FROM (SELECT (SELECT count(*) FROM silver) AS p, (SELECT count(*) FROM alerts) AS a,
+             (SELECT count(*) FROM quarantine) AS q)""",
+        "pipeline_metrics": _SILVER_ALERTS
+        + """SELECT p AS total_transactions_processed, a AS fraud_alert_count,
+       CASE WHEN p > 0 THEN a::DOUBLE / p ELSE 0.0 END AS fraud_rate,
+       q AS invalid_records, 12.34::DOUBLE AS pipeline_runtime_seconds
 FROM (SELECT (SELECT count(*) FROM silver) AS p, (SELECT count(*) FROM alerts) AS a,
              (SELECT count(*) FROM quarantine) AS q)""",
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paywarden.functions.times import without_time_zone
 from paywarden.operators import features as feat, hot_users, marts, metrics, quality, rules, scoring
-from paywarden.plans.steps import stage_features
+from paywarden.plans.steps import stage_features, write_cleansed
 from paywarden.schema import (
     BURST_ALERT,
     CONTEXT_COLUMNS,
@@ -20,7 +21,7 @@ from paywarden.schema import (
     RuleConfig,
     SkewConfig,
 )
-from paywarden.sources.tables import stage
+from paywarden.sources.tables import shared_folder, stage
 from workload.views import bronze, transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -387,3 +388,13 @@ def run_metrics(spark, sf_dir):
     features, bounds = stage_features(good)
     raised = rules.detect_fraud_rules(scoring.compute_risk_score(features, bounds))
     return metrics.run_metrics(good, raised, bad, 100.0, 112.344)
+
+
+@_query
+def pipeline_metrics(spark, sf_dir):
+    """The same counts from layers written apart, so that each is read alone."""
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/cleansed-{uuid.uuid4().hex}"
+    good, bad, _ = write_cleansed(bronze(spark, sf_dir), path)
+    features, bounds = stage_features(good)
+    raised = rules.detect_fraud_rules(scoring.compute_risk_score(features, bounds))
+    return metrics.run_metrics(good, raised, bad, 100.0, 112.344)
