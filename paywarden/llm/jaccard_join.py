@@ -32,6 +32,9 @@ from paywarden.llm.components import components
 from paywarden.llm.tables import key_filter, stage
 
 _PARTS = 128
+#: N-grams that come last, and the counters of the sketch that finds them.
+_FREQUENT = 8192
+_COUNTERS = 16384
 
 
 def gram_sets(batch: pa.RecordBatch, size: int) -> list[np.ndarray]:
@@ -64,7 +67,40 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
 
 
-def _describe(size: int, percent: int):
+def _each_rank(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in w.chunks(batches, "text"):
+            ranks = np.concatenate([*gram_sets(batch, size), np.zeros(0, np.uint64)]) >> np.uint64(1)
+            yield pa.RecordBatch.from_arrays([pa.array(ranks.view(np.int64))], ["gram"])
+
+    return run
+
+
+def frequent_grams(docs: DataFrame, size: int) -> np.ndarray:
+    """Frequent n-grams by rank, at most _FREQUENT, the most frequent last."""
+    top = F.expr(f"approx_top_k(gram, {_FREQUENT}, {_COUNTERS})").alias("top")
+    found, n = docs.mapInArrow(_each_rank(size), "gram long").agg(top, F.count("*").alias("n")).first()
+    rows = sorted((x["count"], x["item"]) for x in found or [] if x["count"] > 1 and x["count"] * _COUNTERS >= n)
+    return np.array([item for _, item in rows], np.uint64)
+
+
+class _Order:
+    """Ranks of n-grams: by hash without its lowest bit, kept positive for Spark; frequent ones last."""
+
+    def __init__(self, frequent: np.ndarray):
+        by_hash = np.argsort(frequent)
+        self.known = frequent[by_hash]
+        self.last = np.uint64((1 << 63) - 1 - len(frequent)) + by_hash.astype(np.uint64)
+
+    def ranks(self, grams: np.ndarray) -> np.ndarray:
+        ranks = grams >> np.uint64(1)
+        if len(self.known):
+            at = np.minimum(np.searchsorted(self.known, ranks), len(self.known) - 1)
+            ranks = np.where(self.known[at] == ranks, self.last[at], ranks)
+        return np.sort(ranks)
+
+
+def _describe(size: int, percent: int, order):
     """Set size, class key, counts over parts and the n-grams a prefix may hold."""
     front = np.uint64(min(0.9, 1.6 * (100 - percent) / 100) * 2.0**63)
 
@@ -77,8 +113,7 @@ def _describe(size: int, percent: int):
                 keys.append(int.from_bytes(digest, "little", signed=True) if len(grams) else None)
                 places = (w.mix(grams) % np.uint64(_PARTS)).astype(np.int64)
                 parts.append(np.minimum(np.bincount(places, minlength=_PARTS), 255).astype(np.uint8).tobytes())
-                # The order is by hash without its lowest bit, kept positive for Spark.
-                ranks = np.sort(grams >> np.uint64(1))
+                ranks = order.value.ranks(grams)
                 inside = int(np.searchsorted(ranks, front))
                 fronts.append(inside)
                 pools.append(ranks[: max(inside, _prefix(len(grams), percent))])
@@ -143,8 +178,9 @@ def _verify(percent: int):
 class _Join:
     def __init__(self, docs: DataFrame, size: int, percent: int):
         self.docs, self.size, self.percent = docs, size, percent
+        order = docs.sparkSession.sparkContext.broadcast(_Order(frequent_grams(docs, size)))
         described = docs.mapInArrow(
-            _describe(size, percent),
+            _describe(size, percent, order),
             "id long, n long, node long, parts binary, front long, pool array<long>",
         )
         self.rows = stage(described, "sets")
