@@ -12,7 +12,7 @@ from paywarden.sources.tables import read_parquet
 
 def main() -> None:
     parser = argparse.ArgumentParser(description="Run bronze, silver and gold once.")
-    parser.add_argument("uploads", help="folder with uploaded CSV files")
+    parser.add_argument("uploads", help="folder with uploaded CSV or JSON files")
     parser.add_argument("out", help="folder for the tables of the run")
     parser.add_argument("--fallback", help="parquet table to use when there is no upload")
     args = parser.parse_args()

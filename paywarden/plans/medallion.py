@@ -33,11 +33,12 @@ def run_medallion(
     fallback: DataFrame | None = None,
     settings: Settings = Settings(),
     fallback_source: str = "synthetic",
+    multi_line: bool = False,
 ) -> Run:
     """Run all steps and log the run, also when it fails.
 
-    The newest CSV in ``uploaded_dir`` is taken; without one, ``fallback``
-    (a table, or an upload read by ``read_json``), logged as ``fallback_source``.
+    The newest CSV or JSON in ``uploaded_dir`` is taken; without one, ``fallback``,
+    logged as ``fallback_source``.  ``multi_line`` allows line breaks in a CSV's quotes.
 
     Tables go to ``bronze/``, ``cleansed/layer=silver|quarantine/`` and
     ``gold/`` below ``out_dir``; the log is ``gold/pipeline_metadata.parquet``.
@@ -47,7 +48,7 @@ def run_medallion(
     started, start_time = time.time(), datetime.now()
     source, records = "unknown", 0
     try:
-        incoming, source = ingest(spark, uploaded_dir, fallback, fallback_source)
+        incoming, source = ingest(spark, uploaded_dir, fallback, fallback_source, multi_line)
         bronze_path = f"{root}/bronze/transactions_bronze.parquet"
         write_bronze(incoming, bronze_path)
         bronze = read_parquet(spark, bronze_path, incoming.schema)

@@ -46,10 +46,14 @@ def write_bronze(bronze: DataFrame, path: str) -> int:
 
 
 def run_bronze_layer(
-    spark: SparkSession, uploaded_dir: str, bronze_dir: str, fallback: DataFrame | None = None
+    spark: SparkSession,
+    uploaded_dir: str,
+    bronze_dir: str,
+    fallback: DataFrame | None = None,
+    multi_line: bool = False,
 ) -> str:
     """Bring the newest upload (or the fallback) into bronze; returns its path."""
-    source, _ = ingest(spark, uploaded_dir, fallback)
+    source, _ = ingest(spark, uploaded_dir, fallback, multi_line=multi_line)
     path = f"{bronze_dir.rstrip('/')}/transactions_bronze.parquet"
     write_bronze(source, path)
     return path

@@ -1,9 +1,11 @@
-"""Transactions as uploaded: newest CSV of a folder, JSON, or a fallback."""
+"""Transactions as uploaded: newest CSV or JSON of a folder, or a fallback."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from paywarden.schema import BRONZE_SCHEMA
 
@@ -25,64 +27,103 @@ def _typed(raw: DataFrame) -> DataFrame:
 def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """CSV with a header; columns are matched by name, in any order.
 
-    A number that cannot be read becomes NULL, which quarantine picks up.
-    ``multi_line`` is for quoted line breaks; such a file is read by one task.
+    A number that cannot be read becomes NULL, which quarantine picks up.  A
+    record with more fields than the header raises when it is read: the surplus
+    has no column to go to.  Missing last fields are NULL.  ``multi_line`` is
+    for quoted line breaks; such a file is read by one task.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
-    cleaned = {c: F.when(~F.col(f"`{c}`").isin(NO_VALUE_TEXTS), F.col(f"`{c}`")) for c in raw.columns}
-    return _typed(raw.withColumns(cleaned))
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    names = reader.csv(path).columns
+    if not names:
+        return reader.csv(path)
+    # One column more than the header has holds what a longer record goes on with.
+    surplus = "_surplus"
+    while surplus in names:
+        surplus += "_"
+    raw = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in [*names, surplus]])).csv(path)
+    problem = F.concat(F.lit("CSV record with too many fields, from: "), F.col(surplus))
+    longer = F.when(F.col(surplus).isNotNull(), F.raise_error(problem).cast("string"))
+    cleaned = {
+        c: longer.when(~F.col(f"`{c}`").isin(NO_VALUE_TEXTS), F.col(f"`{c}`")) for c in names
+    }
+    return _typed(raw.withColumns(cleaned).drop(surplus))
 
 
 def _plain_time(text: Column) -> Column:
-    """``2024-01-31T10:00:00`` with a blank in place of the T."""
-    iso = text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$")
-    return F.when(iso, F.translate(text, "T", " ")).otherwise(text)
+    """Text in bronze's format for ISO times and for numbers since 1970 in UTC.
 
-
-def read_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    A number is in the largest unit (s, ms, us, ns) that puts it before 2262,
+    numbers below one year are no times.  Fractions of a second are dropped,
+    and so is a final Z.
+    """
+    iso = text.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?Z?$")
+    number = F.when(text.rlike(r"^\d{8,19}$"), text.try_cast("long"))
+    second = F.when(number < 31_536_000, None)
+    for unit in (1, 10**3, 10**6, 10**9):
+        second = second.when(number <= min(9_223_372_036 * unit, 2**63 - 1), (number - number % unit) / unit)
+    second = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(secs=second)
+    since = F.substring(second.cast("string"), 1, 19)
+    plain = F.translate(F.substring(text, 1, 19), "T", " ")
+    return F.when(iso, plain).otherwise(F.coalesce(since, text))
+
+
+def read_json(
+    spark: SparkSession, path: str, lines: bool = False, extra_fields: bool = False
+) -> DataFrame:
     """An array of records, or one record per line with ``lines``.
 
     An array is read by one task per file; large inputs should come as lines.
+    ``extra_fields`` keeps fields beyond the bronze columns, as text where they
+    are single values; finding their names reads the input once more.
     """
-    raw = spark.read.schema(BRONZE_SCHEMA).option("multiLine", not lines).json(path)
+    reader = spark.read.option("multiLine", not lines)
+    schema = T.StructType(list(BRONZE_SCHEMA.fields))
+    if extra_fields:
+        known = {c.lower() for c in schema.fieldNames()}
+        found = reader.option("primitivesAsString", True).json(path).schema.fields
+        schema = T.StructType([*schema.fields, *(f for f in found if f.name.lower() not in known)])
+    raw = reader.schema(schema).json(path)
     return raw.withColumn("timestamp", _plain_time(F.col("timestamp")))
 
 
-def latest_upload(spark: SparkSession, folder: str) -> str | None:
-    """Path of the CSV in ``folder`` that changed last, None if there is none.
-
-    A CSV may be a file or a folder of part files, as Spark writes it.  Only
-    the listing is read, not the files; ties go to the greater name.  A folder
-    that does not exist holds no uploads.
-    """
+def _newest(spark: SparkSession, folder: str) -> tuple[str, bool] | None:
+    """The upload in ``folder`` that changed last, and whether it is a folder itself."""
+    folder = folder.rstrip("/")
     try:
+        # The files that lie in ``folder`` and the part files right below; nothing deeper.
         listing = (
             spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.csv")
-            .load(folder)
+            .load(f"{folder}/*.{{csv,json,jsonl}}")
             .select("path", "modificationTime")
         )
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    # A path up to its first part that ends in ".csv" is one upload.
-    upload = F.regexp_extract("path", r"^(.*?/[^/]+\.csv)(/.*)?$", 1)
+    own = folder.rsplit("/", 1)[-1]
+    own = "[^/]+" if own in ("", ".", "..") else re.escape(own)
+    upload = F.regexp_extract("path", rf"^(.*?/{own}/[^/]+\.(?:csv|json|jsonl))(?:/[^/]+)?$", 1)
     newest = (
         listing.withColumn("upload", upload)
         .groupBy("upload")
-        .agg(F.max("modificationTime").alias("changed"))
+        .agg(F.max("modificationTime").alias("changed"), F.max(F.col("path") != F.col("upload")).alias("parts"))
         .orderBy(F.desc("changed"), F.desc("upload"))
         .limit(1)
         .collect()
     )
-    return newest[0].upload if newest else None
+    return (newest[0].upload, newest[0].parts) if newest else None
+
+
+def latest_upload(spark: SparkSession, folder: str) -> str | None:
+    """Path of the CSV or JSON in ``folder`` that changed last, None if there is none.
+
+    An upload may be a file or a folder of part files, as Spark writes it;
+    other folders are not looked into.  Only the listing is read, not the
+    files; ties go to the greater name.  A folder that does not exist holds no
+    uploads.
+    """
+    newest = _newest(spark, folder)
+    return newest[0] if newest else None
 
 
 def ingest(
@@ -90,11 +131,20 @@ def ingest(
     upload_folder: str,
     fallback: DataFrame | None = None,
     fallback_source: str = "synthetic",
+    multi_line: bool = False,
 ) -> tuple[DataFrame, str]:
-    """The newest upload, else the fallback, and which of the two it was."""
-    path = latest_upload(spark, upload_folder)
-    if path:
-        return read_csv(spark, path), "uploaded"
+    """The newest upload, else the fallback, and which of the two it was.
+
+    ``.jsonl`` files and folders of part files hold one record per line, other
+    JSON files an array.  ``multi_line`` allows quoted line breaks in a CSV.
+    """
+    newest = _newest(spark, upload_folder)
+    if newest:
+        path, parts = newest
+        if path.endswith(".csv"):
+            return read_csv(spark, path, multi_line), "uploaded"
+        lines = parts or path.endswith(".jsonl")
+        return read_json(spark, path, lines, extra_fields=True), "uploaded"
     if fallback is None:
-        raise ValueError(f"no CSV in {upload_folder} and no fallback given")
+        raise ValueError(f"no CSV or JSON in {upload_folder} and no fallback given")
     return fallback, fallback_source

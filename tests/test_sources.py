@@ -116,3 +116,63 @@ def test_staged_table_lies_in_the_shared_folder(spark):
     staged, _ = tables.stage(bronze(spark, [{}]), "x")
     folder = spark.conf.get("spark.checkpoint.dir")
     assert all(folder in f for f in staged.inputFiles()) and staged.count() == 1
+
+
+def test_record_with_too_many_fields_is_not_cut(spark, tmp_path):
+    path = put(tmp_path / "a.csv", HEADER, LINE, LINE.replace("t1", "t2") + ",more")
+    with pytest.raises(Exception, match="too many fields"):
+        uploads.read_csv(spark, path).collect()
+    short = put(tmp_path / "b.csv", HEADER + ",note", LINE)
+    assert [(r.transaction_id, r.note) for r in uploads.read_csv(spark, short).collect()] == [("t1", None)]
+
+
+def test_quoted_line_breaks_on_request(spark, tmp_path):
+    put(tmp_path / "a.csv", HEADER, LINE.replace("here", '"two\nlines"'), LINE.replace("t1", "t2"))
+    rows, _ = uploads.ingest(spark, str(tmp_path), multi_line=True)
+    assert sorted((r.transaction_id, r.location) for r in rows.collect()) == [("t1", "two\nlines"), ("t2", "here")]
+
+
+def test_newest_of_csv_and_json_wins(spark, tmp_path):
+    put(tmp_path / "a.csv", HEADER, LINE, mtime=1_000_000)
+    put(tmp_path / "b.json", json.dumps([{"transaction_id": "j", "more": 1}, {"transaction_id": "k"}]), mtime=2_000_000)
+    rows, source = uploads.ingest(spark, str(tmp_path))
+    assert sorted((r.transaction_id, r.more or "") for r in rows.collect()) == [("j", "1"), ("k", "")]
+    assert source == "uploaded"
+    put(tmp_path / "c.jsonl", '{"transaction_id": "l"}', '{"transaction_id": "m"}', mtime=3_000_000)
+    assert uploads.ingest(spark, str(tmp_path))[0].count() == 2
+
+
+def test_json_written_in_parts_is_read_whole(spark, tmp_path):
+    rows = bronze(spark, [{"transaction_id": str(i), "amount": i + 0.5} for i in range(20)])
+    rows.repartition(3).write.json(str(tmp_path / "x.json"))
+    back, _ = uploads.ingest(spark, str(tmp_path))
+    assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
+
+
+@pytest.mark.parametrize(
+    "given, wanted",
+    [
+        (1709294400000, "2024-03-01 12:00:00"),
+        (1709294400, "2024-03-01 12:00:00"),
+        (1709294400999999, "2024-03-01 12:00:00"),
+        (1709294400000000000, "2024-03-01 12:00:00"),
+        (1709294400999999999, "2024-03-01 12:00:00"),
+        ("2024-03-01T12:00:00.000", "2024-03-01 12:00:00"),
+        ("2024-03-01T12:00:00.25Z", "2024-03-01 12:00:00"),
+        ("2024-03-01T12:00:00+02:00", "2024-03-01T12:00:00+02:00"),
+        (12345678, "12345678"),
+        ("soon", "soon"),
+        (None, None),
+    ],
+)
+def test_json_times(spark, tmp_path, given, wanted):
+    path = put(tmp_path / "a.json", json.dumps([{"transaction_id": "t", "timestamp": given}]))
+    assert uploads.read_json(spark, path).first().timestamp == wanted
+
+
+def test_only_the_top_level_is_searched(spark, tmp_path):
+    up = tmp_path / "kept.csv"
+    (up / "archive").mkdir(parents=True)
+    put(up / "a.csv", HEADER, LINE, mtime=1_000_000)
+    put(up / "archive" / "b.csv", HEADER, LINE, mtime=2_000_000)
+    assert uploads.latest_upload(spark, str(up)).endswith("/kept.csv/a.csv")
