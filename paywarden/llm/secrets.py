@@ -3,11 +3,13 @@
 Everything is a column expression.  Where a pattern matches, the text is split
 by it; lengths of pieces and matches give the spans, in code points.
 
-A long token is put into the narrowest encoding it fits (hexadecimal, base 32,
-base 36 or base 64).  Under the hypothesis that its symbols are drawn evenly
-and independently, three tests give a p-value: chi-squared on four equal parts
-of the alphabet, runs above and below its middle, and correlation of
-neighbours; thrice the least is the token's.  Ordinary tokens are far from
+A long token is put into the narrowest encoding it fits: digits, letters, both,
+hexadecimal or base 32 without its separators, or base 64, which holds every
+token.  Under the hypothesis that its symbols are drawn evenly and
+independently, four tests give a p-value: chi-squared on four equal parts of
+the alphabet, runs above and below its middle, correlation of neighbours, and
+the number of letters that are common in words; four times the least is the
+token's.  Ordinary tokens are far from
 random and are rejected, with the false discovery rate of each document held
 by the step-up procedure on p-values weighted by length: a long token has more
 power, so it is rejected more readily.  Tokens not rejected are reported.
@@ -30,17 +32,26 @@ KINDS = ["assign", "access", "hex", "random"]
 LEAST_BITS = 100
 FALSE_DISCOVERIES = 0.05
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_LOWER = "abcdefghijklmnopqrstuvwxyz"
+_DIGITS = "0123456789"
+#: Ten letters that make up about three quarters of English text.
+_COMMON = "etaoinsrhlETAOINSRHL"
+#: In all but the widest encoding these stand between symbols.
+_SEPARATORS = "-_+/"
 # Encodings from narrow to wide: symbols in order of value, and what a token in it looks like.
 _ENCODINGS = [
+    (_DIGITS, r"^[0-9]+$"),
     ("0123456789abcdef", r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]+$"),
     ("0123456789ABCDEF", r"^(?=.*[0-9])(?=.*[A-F])[0-9A-F]+$"),
-    ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", r"^(?=.*[2-7])(?=.*[A-Z])[A-Z2-7]+$"),
-    ("0123456789abcdefghijklmnopqrstuvwxyz", r"^(?=.*[0-9])(?=.*[a-z])[0-9a-z]+$"),
-    (
-        "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
-        r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z]).+$",
-    ),
+    (_UPPER, r"^[A-Z]+$"),
+    (_LOWER, r"^[a-z]+$"),
+    (_UPPER + "234567", r"^(?=.*[2-7])(?=.*[A-Z])[A-Z2-7]+$"),
+    (_DIGITS + _UPPER, r"^[0-9A-Z]+$"),
+    (_DIGITS + _LOWER, r"^[0-9a-z]+$"),
+    (_UPPER + _LOWER, r"^[A-Za-z]+$"),
 ]
+_WIDEST = _UPPER + _LOWER + _DIGITS + "+/"
 
 
 def _matches(text: Column, pattern: str) -> Column:
@@ -78,8 +89,13 @@ def _of_kind(kind: int):
     return lambda x: F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end"))
 
 
-def _p_random(values: Column, n_symbols: Column) -> Column:
-    """p-value of the battery for symbol values 0 to n_symbols - 1."""
+def _n_common(text: Column) -> Column:
+    return F.length(text) - F.length(F.translate(text, _COMMON, ""))
+
+
+def _p_random(token: Column, alphabet: Column, values: Column) -> Column:
+    """p-value of the battery for a token and its symbols' places in the alphabet, from 0."""
+    n_symbols = F.length(alphabet).cast("double")
     n = F.size(values).cast("double")
     part = F.transform(values, lambda v: F.floor(v * 4 / n_symbols))
     chi = F.lit(0.0)
@@ -97,16 +113,24 @@ def _p_random(values: Column, n_symbols: Column) -> Column:
     variance = (n_symbols * n_symbols - 1) / 12
     product = F.aggregate(pairs, F.lit(0.0), lambda s, x: s + (x["a"] - mean) * (x["b"] - mean))
     p_serial = 2 * _p_normal(F.abs(product / variance) / F.sqrt(n - 1))
-    return F.least(F.lit(1.0), 3 * F.least(p_chi, p_runs, p_serial))
+    share = _n_common(alphabet) / n_symbols
+    z_common = (_n_common(token) - n * share) / F.sqrt(n * share * (1 - share))
+    p_common = F.when(share > 0, _p_normal(z_common)).otherwise(F.lit(1.0))
+    return F.least(F.lit(1.0), 4 * F.least(p_chi, p_runs, p_serial, p_common))
+
 
+def _encoded(token: Column) -> Column:
+    """(t, a): a token's symbols and the alphabet of the narrowest encoding they fit."""
 
-def _with_encoding(token: Column) -> Column:
-    """(alphabet) of the narrowest encoding a token fits, or null."""
-    plain = F.translate(token, "-_", "+/")
-    choice = F.lit(None).cast("string")
+    def form(symbols: Column, alphabet: str) -> Column:
+        return F.struct(symbols.alias("t"), F.lit(alphabet).alias("a"))
+
+    bare = F.translate(token, _SEPARATORS, "")
+    choice = form(F.translate(token, "-_", "+/"), _WIDEST)
     for alphabet, shape in reversed(_ENCODINGS):
-        choice = F.when(plain.rlike(shape), F.lit(alphabet)).otherwise(choice)
-    return choice
+        choice = F.when(bare.rlike(shape), form(bare, alphabet)).otherwise(choice)
+    # Nothing but separators: no symbols.
+    return F.when(bare == "", form(bare, _WIDEST)).otherwise(choice)
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -114,7 +138,9 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     ``kind`` is a place in KINDS; starts and ends are code points, the end
     exclusive.  Assignments need a value of 8 characters or more, access keys 16
-    and hexadecimal runs 32.  Spans of different kinds may overlap.
+    and hexadecimal runs 32.  Every match of TOKEN is tested unless its symbols,
+    without separators, carry less than LEAST_BITS.  Spans of different kinds may
+    overlap.
 
     Null and empty texts have no spans.  Repeated rows are reported each.  Other
     columns are not read.  Work and memory grow with a document's own matches.
@@ -135,24 +161,20 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _tokens(text: Column) -> Column:
-    """Array of (start, end, t, a): long tokens with the alphabet they fit."""
+    """Array of (start, end, x): long tokens, with their symbols and the alphabet they fit."""
     tokens = F.transform(
         _matches(text, TOKEN),
-        lambda x: F.struct(
-            x["start"].alias("start"),
-            x["end"].alias("end"),
-            F.translate(x["found"], "-_", "+/").alias("t"),
-            _with_encoding(x["found"]).alias("a"),
-        ),
+        lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), _encoded(x["found"]).alias("x")),
     )
     bits = lambda x: F.length(x["t"]) * F.log2(F.length(x["a"]).cast("double"))
-    return F.filter(tokens, lambda x: x["a"].isNotNull() & (bits(x) >= LEAST_BITS))
+    return F.filter(tokens, lambda x: bits(x["x"]) >= LEAST_BITS)
 
 
 def _tested(x: Column) -> Column:
-    places = F.sequence(F.lit(1), F.length(x["t"]))
-    values = F.transform(places, lambda i: F.instr(x["a"], F.substring(x["t"], i, F.lit(1))) - 1)
-    p = _p_random(values, F.length(x["a"]).cast("double"))
+    token, alphabet = x["x"]["t"], x["x"]["a"]
+    places = F.sequence(F.lit(1), F.length(token))
+    values = F.transform(places, lambda i: F.instr(alphabet, F.substring(token, i, F.lit(1))) - 1)
+    p = _p_random(token, alphabet, values)
     return F.struct(x["start"].alias("start"), x["end"].alias("end"), p.alias("p"))
 
 

@@ -90,6 +90,35 @@ def test_random_tokens_are_told_from_ordinary_ones(spark):
     assert not hits & {60, 61}
 
 
+def test_random_tokens_of_every_form_are_found(spark):
+    rng = random.Random(11)
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+
+    def key(alphabet, n):
+        return "".join(rng.choice(alphabet) for _ in range(n))
+
+    def uuid():
+        return "-".join(key(digits + "abcdef", n) for n in (8, 4, 4, 4, 12))
+
+    forms = {
+        "upper": lambda: key(upper + digits, 28),
+        "uuid": uuid,
+        "prefix": lambda: "sk_live_" + key(lower + digits, 32),
+        "letters": lambda: key(lower, 30),
+        "both cases": lambda: key(upper + lower, 30),
+        "digits": lambda: key(digits, 40),
+        "path": lambda: key(lower + digits, 12) + "/" + key(lower + digits, 16),
+    }
+    made = [(name, make()) for name, make in forms.items() for _ in range(20)]
+    named = ["K8Q0ZR91WX7PLM2N9TYB4VD0HGS6", "sk_live_9q2z7x4k1m8n5b3v6c0a", "0" * 40, "-" * 60, "get_all_the_elements_in_the_list_and_return_them"]
+    rows = [(i, f"see {t} here") for i, t in enumerate([t for _, t in made] + named)]
+    got = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    hits = {r.doc_id for r in got if any(s.kind == 3 for s in r.spans)}
+    for name in forms:
+        assert sum(form == name and i in hits for i, (form, _) in enumerate(made)) >= 16, name
+    assert [len(made) + k in hits for k in range(len(named))] == [True, True, False, False, False]
+
+
 # --- pieces ------------------------------------------------------------------
 
 
