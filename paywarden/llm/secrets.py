@@ -11,8 +11,11 @@ the alphabet, runs above and below its middle, correlation of neighbours, and
 the number of letters that are common in words; four times the least is the
 token's.  Ordinary tokens are far from
 random and are rejected, with the false discovery rate of each document held
-by the step-up procedure on p-values weighted by length: a long token has more
-power, so it is rejected more readily.  Tokens not rejected are reported.
+by the step-up procedure on weighted p-values.  A token longer than its
+document's mean has more power and needs less weight: the weight is the mean
+length over its own, and never above 1, so a truly random token of any length
+is rejected at a rate of FALSE_DISCOVERIES at most.  Tokens not rejected are
+reported.
 """
 
 from __future__ import annotations
@@ -182,11 +185,10 @@ def _not_rejected(tested: Column) -> Column:
     """Weighted step-up rejection within the document; what is left."""
     m = F.size(tested)
     total = F.aggregate(tested, F.lit(0.0), lambda s, x: s + (x["end"] - x["start"]))
+    over_mean = lambda x: F.greatest(F.lit(1.0), (x["end"] - x["start"]) * m / total)
     weighted = F.transform(
         tested,
-        lambda x: F.struct(
-            x["start"].alias("start"), x["end"].alias("end"), (x["p"] * total / (m * (x["end"] - x["start"]))).alias("p")
-        ),
+        lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), (x["p"] * over_mean(x)).alias("p")),
     )
     ordered = F.array_sort(F.transform(weighted, lambda x: x["p"]))
     passing = F.transform(ordered, lambda p, i: F.when(p <= (i + 1) * FALSE_DISCOVERIES / m, p))

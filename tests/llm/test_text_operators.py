@@ -119,6 +119,20 @@ def test_random_tokens_of_every_form_are_found(spark):
     assert [len(made) + k in hits for k in range(len(named))] == [True, True, False, False, False]
 
 
+def test_long_keys_among_ordinary_tokens_are_found(spark):
+    rng = random.Random(12)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    rows = []
+    for i, n in enumerate([24, 40, 400, 4096] * 5):
+        key = "".join(rng.choice(alphabet) for _ in range(n))
+        rows.append((i, " ".join([f"aaaaaaaaaaaaaaaaaaaaaA{k:02}" for k in range(39)] + [key])))
+    got = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    spans = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == 3] for r in got}
+    assert all((a, b) == (39 * 25, len(rows[i][1])) for i, own in spans.items() for a, b in own)
+    for k in range(4):
+        assert sum(len(spans[i]) for i in range(k, 20, 4)) >= 4
+
+
 # --- pieces ------------------------------------------------------------------
 
 
