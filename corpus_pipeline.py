@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paywarden.llm.decontamination import find_leaks
 from paywarden.llm.exact_dedup import drop_exact_copies
@@ -12,6 +12,21 @@ from paywarden.llm.sentencepiece import encode
 from paywarden.llm.tables import stage as _written
 
 
+def _name() -> Column:
+    """What rows are told apart by: ids may be null or repeated, so the text's digest as well."""
+    digest = F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), digest.alias("digest"))
+
+
+def _rows_named(docs: DataFrame, names: DataFrame, how: str) -> DataFrame:
+    """The rows of ``docs`` whose name is among ``names``, or is not, with all their columns."""
+    columns = docs.columns
+    # Columns travel under their places, so that no name can clash.
+    rows = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)], _name().alias("own"))
+    names = names.select("name").distinct()
+    return rows.join(names, F.col("own").eqNullSafe(F.col("name")), how).drop("own").toDF(*columns)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language go: null texts and texts without a letter."""
     columns = docs.columns
@@ -25,16 +40,20 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word shingles at 0.8 the one with the smallest id stays."""
-    kept = jaccard_components(docs, size=5, percent=80).where("doc_id <=> component_id").select("doc_id")
-    return docs.join(kept.distinct(), docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """Of documents linked by five-word shingles at 0.8 the one with the smallest id stays.
+
+    Null ids come last, and of equal ids the smallest digest is taken.
+    """
+    named = docs.select(_name().alias("name"), "text")
+    kept = jaccard_components(named, id_col="name", size=5, percent=80).where("name = component_id")
+    return _rows_named(docs, kept, "left_semi")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaks = find_leaks(docs, items).select("doc_id").distinct()
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["doc_id"]), "left_anti")
+    leaks = find_leaks(docs.select(_name().alias("name"), "text"), items, id_col="name")
+    return _rows_named(docs, leaks, "left_anti")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

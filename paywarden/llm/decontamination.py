@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from paywarden.llm import words as w
 
@@ -144,11 +145,13 @@ def find_leaks(
     ``end_char`` is where the nearest run ends in that form.  Null, empty and
     short items (under LEAST_CHARS) are never found, null and empty documents
     hold none.  Items with equal texts are each reported, repeated rows as well.
-    Every text is searched whole.
+    Every text is searched whole.  A document's id may be a struct.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    schema = "id long, item_id long, distance int, end_char long"
+    kind = docs.schema[id_col].dataType
+    kind = kind.simpleString() if isinstance(kind, StructType) else "long"
+    rows = docs.select(F.col(id_col).cast(kind).alias("id"), F.col(text_col).cast("string").alias("text"))
+    schema = f"id {kind}, item_id long, distance int, end_char long"
     out = None
     for block in _blocks(items, item_id_col, item_text_col):
         shared = spark.sparkContext.broadcast(Items(block))

@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from paywarden.llm import words as w
 from paywarden.llm.components import components
@@ -181,7 +182,7 @@ class _Join:
         order = docs.sparkSession.sparkContext.broadcast(_Order(frequent_grams(docs, size)))
         described = docs.mapInArrow(
             _describe(size, percent, order),
-            "id long, n long, node long, parts binary, front long, pool array<long>",
+            f"id {docs.schema['id'].dataType.simpleString()}, n long, node long, parts binary, front long, pool array<long>",
         )
         self.rows = stage(described, "sets")
         one = self.rows.where("node is not null").select("node", F.struct("n", "front", "parts", "pool").alias("s"))
@@ -286,12 +287,15 @@ def jaccard_components(
 
     Null texts and texts without words have an empty set and are linked with
     nothing: their component is their own id.  Rows with equal sets are linked,
-    repeated rows as well.  Null ids are ignored when the smallest is taken.
+    repeated rows as well.  Null ids are ignored when the smallest is taken.  An id
+    may be a struct, compared field by field.
     Other columns are not read.
     """
-    kind = docs.schema[id_col].dataType
+    # By its name, which leaves fields nullable.
+    kind = docs.schema[id_col].dataType.simpleString()
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    docs = docs.withColumn("id", F.col("id").cast("long"))
+    if not isinstance(docs.schema["id"].dataType, StructType):
+        docs = docs.withColumn("id", F.col("id").cast("long"))
     join = _Join(docs, size, percent)
     labels = join.labels()
     own = join.rows.select("id", "n", "node")

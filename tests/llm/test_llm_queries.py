@@ -35,3 +35,22 @@ def test_pipeline_keeps_what_a_plain_version_keeps(spark):
     got = corpus_pipeline.run(spark, str(TESTDATA / SF))
     assert sorted(r.doc_id for r in got.collect()) == want
     assert got.where("not round_trip").count() == 0
+
+
+def test_rows_without_or_with_equal_ids_are_decided_each(spark, tmp_path):
+    words = [f"w{i}" for i in range(60)]
+    near, nearer, other = " ".join(words), " ".join([*words, "x"]), " ".join(w + "b" for w in words)
+    item = "the quick brown fox jumps over the lazy dog"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, near), (None, nearer), (None, other), (None, f"so {item}"), (7, "clean text"), (7, f"{item} too"), (8, None)]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, name int")
+    near_kept = corpus_pipeline.near_dedup(spark, docs, str(tmp_path))
+    assert near_kept.columns == docs.columns
+    got = sorted(r.name for r in near_kept.collect())
+    assert got in ([0, 2, 3, 4, 5, 6], [1, 2, 3, 4, 5, 6])
+    clean = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+    assert clean.columns == docs.columns
+    assert sorted(r.name for r in clean.collect()) == [0, 1, 2, 4, 6]
+    # An id wins over none.
+    named = docs.where("name < 2").selectExpr("if(name = 1, 9, doc_id) as doc_id", "text", "name")
+    assert [r.doc_id for r in corpus_pipeline.near_dedup(spark, named, str(tmp_path)).collect()] == [9]
