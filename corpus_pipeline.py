@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paywarden.llm.decontamination import find_leaks
 from paywarden.llm.exact_dedup import drop_exact_copies
 from paywarden.llm.jaccard_join import jaccard_components
-from paywarden.llm.language_id import UNKNOWN, learn, predict
+from paywarden.llm.language_id import DIMENSIONS, UNKNOWN, learn, predict
 from paywarden.llm.sentencepiece import encode
 from paywarden.llm.tables import stage as _written
 
@@ -28,9 +29,15 @@ def _rows_named(docs: DataFrame, names: DataFrame, how: str) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: null texts and texts without a letter."""
+    """Documents without a language go: null texts and texts without a letter.
+
+    This also holds where no row has a label, and a label that says unknown
+    takes no document with it.
+    """
     columns = docs.columns
-    rows = predict(docs, learn(docs))
+    learned = {lang: v for lang, v in learn(docs).items() if lang != UNKNOWN}
+    # With nothing learned, any language is as near as another.
+    rows = predict(docs, learned or {"": np.zeros(DIMENSIONS)})
     return rows.where(F.col("lang_pred") != UNKNOWN).select(*columns)
 
 

@@ -54,3 +54,9 @@ def test_rows_without_or_with_equal_ids_are_decided_each(spark, tmp_path):
     # An id wins over none.
     named = docs.where("name < 2").selectExpr("if(name = 1, 9, doc_id) as doc_id", "text", "name")
     assert [r.doc_id for r in corpus_pipeline.near_dedup(spark, named, str(tmp_path)).collect()] == [9]
+
+
+@pytest.mark.parametrize("lang", ["lang", "string(null)", "'und'"])
+def test_the_language_stage_needs_no_labels(spark, odd_docs, lang):
+    docs = odd_docs.selectExpr("doc_id", "text", f"{lang} as lang", "id")
+    assert sorted(r.id or 0 for r in corpus_pipeline.language_id(spark, docs, "").collect()) == [0, 4, 5, 5, 7, 8, 9]
