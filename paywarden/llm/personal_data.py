@@ -114,20 +114,51 @@ def _iban(value: str) -> bool:
     return int("".join(str(int(ch, 36)) for ch in value[4:] + value[:4])) % 97 == 1
 
 
+#: Characters of an IBAN by country; others may have any number from 15 to 34.
+_IBAN_CHARS = {
+    country: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+        27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+        30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 _FILLER = re.compile(r"(?:[ \t]*(?:number|no\.?|nr\.?|code|is|[:=#-]))*[ \t]*", re.IGNORECASE)
+#: Before an IBAN, "no" and "is" with a digit behind them are Norway and Iceland.
+_IBAN_FILLER = re.compile(r"(?:[ \t]*(?:number|no(?:\.|(?![0-9]))|nr\.?|code|is(?![0-9])|[:=#-]))*[ \t]*", re.IGNORECASE)
+_GROUP = re.compile(r"[ -]?([A-Za-z0-9]+)")
 _VALUE = re.compile(r"[A-Za-z0-9]+(?:[ -][A-Za-z0-9]*[0-9][A-Za-z0-9]*)*")
 
 
+def _iban_span(text: str, start: int) -> tuple[int, int] | None:
+    """The IBAN that starts here: groups up to its country's length, or to the last end that is right."""
+    plain, end, found = "", start, None
+    most = _IBAN_CHARS.get(text[start : start + 2].upper(), 34)
+    # The first group follows without a mark; a longer run than an IBAN is read no further.
+    while len(plain) < most and (group := _GROUP.match(text, end, end + most + 2)):
+        if not plain and group.start(1) > start:
+            return None
+        plain, end = plain + group[1].upper(), group.end()
+        whole = end == len(text) or text[end] not in _ALNUM
+        if whole and len(plain) <= most and (len(plain) == most or text[start : start + 2].upper() not in _IBAN_CHARS) and _iban(plain):
+            found = start, end
+    return found
+
+
 def _account(text: str, cue: str, cue_start: int, cue_end: int) -> tuple[int, int] | None:
     """The identifier that a cue announces: an IBAN with right check digits, or five digits or more."""
     if cue_start and text[cue_start - 1] in _ALNUM or cue_end < len(text) and text[cue_end] in _ALNUM:
         return None
+    if cue == "iban":
+        return _iban_span(text, _IBAN_FILLER.match(text, cue_end).end())
     value = _VALUE.match(text, _FILLER.match(text, cue_end).end())
     if not value:
         return None
     plain = value[0].replace(" ", "").replace("-", "")
-    fits = _iban(plain.upper()) if cue == "iban" else sum(ch in _DIGITS for ch in plain) >= 5
-    return value.span() if fits else None
+    return value.span() if sum(ch in _DIGITS for ch in plain) >= 5 else None
 
 
 def anchors():

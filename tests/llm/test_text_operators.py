@@ -47,6 +47,23 @@ def test_cards_and_more():
     assert [text[a:b] for a, k, b in spans if k > 3] == ["https://a.example/x", "DE89 3704 0044 0532 0130 00"]
 
 
+def test_ibans_of_all_forms():
+    ibans = [
+        "GB29 NWBK 6016 1331 9268 19", "NL91 ABNA 0417 1643 00", "IE29 AIBK 9311 5212 3456 78", "DE89 3704 0044 0532 0130 00",
+        "NO93 8601 1117 947", "IS14 0159 2600 7654 5510 7303 39", "FR14 2004 1010 0505 0001 3M02 606", "MT84 MALT 0110 0001 2345 MTLC AST0 01S",
+        "GB29NWBK60161331926819", "nl91-abna-0417-1643-00",
+    ]
+    # Of a country without a known length, any end that is right.
+    ibans.append(next(f"ZZ{k:02} ABCD 1234 5678 9012" for k in range(2, 99) if int(f"1011121312345678901235 35{k:02}".replace(" ", "")) % 97 == 1))
+    for iban in ibans:
+        for before in ("IBAN ", "iban: ", "IBAN no. ", "Iban is "):
+            for after in ("", ".", " 2024", " and more", " a1 b2", "\n12"):
+                text = f"pay {before}{iban}{after}"
+                assert [text[a:b] for a, k, b in find_spans(text, AUTOMATON) if k == 5] == [iban], text
+    for bad in ("GB28 NWBK 6016 1331 9268 19", "GB29 NWBK 6016 1331 9268 190", "GB29 NWBK", "", " ", "-", "GB29NWBK60161331926819" * 9):
+        assert not [s for s in find_spans(f"IBAN {bad}", AUTOMATON) if s[1] == 5]
+
+
 def test_odd_texts(odd_docs, no_docs):
     assert find_personal_data(odd_docs).count() == 10
     assert find_personal_data(no_docs).count() == 0
