@@ -61,6 +61,34 @@ FROM w LEFT JOIN n USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
 """
 
+OP12 = r"""
+WITH w AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents
+), s AS (
+  SELECT count(*) AS nn, sum(len(ts))::BIGINT AS ll FROM w WHERE len(ts) > 0
+), p AS (
+  SELECT r, doc_id, len(ts) AS n, unnest(ts) AS term FROM w
+), tf AS (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM p GROUP BY ALL
+), df AS (
+  SELECT term, count(*) AS df FROM tf GROUP BY term
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), hit AS (
+  SELECT item_id, r, doc_id, sum(
+    floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * df + 1)))::BIGINT
+      * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * nn) // ll))))::BIGINT AS score
+  FROM q JOIN df USING (term) JOIN tf USING (term), s GROUP BY ALL
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, r) AS rank FROM hit WHERE score > 0
+) WHERE rank <= 10
+"""
+
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": OP6, "op7_substring_dedup": OP7, "op10_jaccard_join": OP10}
+    return {"op6_exact_dedup": OP6, "op7_substring_dedup": OP7, "op10_jaccard_join": OP10, "op12_ranked_search": OP12}

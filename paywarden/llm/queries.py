@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from zlib import crc32
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -12,7 +13,9 @@ from paywarden.llm.decontamination import find_leaks
 from paywarden.llm.exact_dedup import exact_dedup
 from paywarden.llm.jaccard_join import jaccard_components
 from paywarden.llm.license_scan import scan_licenses
+from paywarden.llm.periodic_runs import periodic_runs
 from paywarden.llm.personal_data import find_personal_data
+from paywarden.llm.ranked_search import ranked_search
 from paywarden.llm.sentencepiece import encode
 from paywarden.llm.substring_dedup import remove_repeats
 
@@ -100,6 +103,37 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_documents(spark, sf_dir))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def with_repeats(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """One document in ten, by its id, ends in a periodic run of its own words."""
+    h, n = crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    a = h // 10 % n
+    p = 1 + (n - a) // (3 + h // 10 % 8)
+    return [*words[:a], *(words[a + i % p] for i in range(n - a))]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = periodic_runs(_documents(spark, sf_dir), prepare=with_repeats)
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"], r["period"], r["length"])))
+    rows = rows.withColumn("longest", longest)
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "longest.start",
+        "longest.length",
+        "longest.period",
+        F.expr("(1000 * longest.length) div longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def llm_queries() -> dict[str, Query]:
     made = (
         op1_license_scan,
@@ -112,5 +146,7 @@ def llm_queries() -> dict[str, Query]:
         op8_secret_scan,
         op9_decontamination,
         op10_jaccard_join,
+        op12_ranked_search,
+        op13_periodic_runs,
     )
     return {f.__name__: f for f in made}
