@@ -11,6 +11,7 @@ from paywarden.llm import language_id, personal_data, secrets
 from paywarden.llm.chat_format import formatted_digests
 from paywarden.llm.decontamination import find_leaks
 from paywarden.llm.exact_dedup import exact_dedup
+from paywarden.llm.html_extraction import extract_pages
 from paywarden.llm.jaccard_join import jaccard_components
 from paywarden.llm.license_scan import scan_licenses
 from paywarden.llm.periodic_runs import periodic_runs
@@ -103,6 +104,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_documents(spark, sf_dir))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -146,6 +152,7 @@ def llm_queries() -> dict[str, Query]:
         op8_secret_scan,
         op9_decontamination,
         op10_jaccard_join,
+        op11_html_extraction,
         op12_ranked_search,
         op13_periodic_runs,
     )
