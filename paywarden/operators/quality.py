@@ -12,9 +12,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from paywarden.functions.arrays import without_nulls
-from paywarden.functions.rows import side_by_side
 from paywarden.functions.times import parsed_timestamp
-from paywarden.schema import SILVER_SCHEMA, TRANSACTION_COLUMNS
+from paywarden.schema import AUDIT_COLUMNS, BRONZE_SCHEMA, CORRUPT_RECORD, SILVER_SCHEMA, TRANSACTION_COLUMNS
 
 SILVER = "silver"
 QUARANTINE = "quarantine"
@@ -59,9 +58,30 @@ def keep_one(df: DataFrame, keys: list[str]) -> DataFrame:
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
+def require_types(df: DataFrame) -> DataFrame:
+    """``df`` if its required columns are there with bronze's types; times may be text or timestamps."""
+    times = (T.StringType, T.TimestampType, T.TimestampNTZType)
+    read = {f.name: f for f in df.schema.fields}
+    if "timestamp" in read and isinstance(read["timestamp"].dataType, times):
+        read["timestamp"] = BRONZE_SCHEMA["timestamp"]
+    seen = df.sparkSession.createDataFrame([], T.StructType([read[c] for c in read if c in TRANSACTION_COLUMNS]))
+    problems = schema_problems(seen, BRONZE_SCHEMA)
+    if problems:
+        raise ValueError(f"not the columns of bronze: {'; '.join(problems)}")
+    return df
+
+
+def malformed(df: DataFrame) -> Column:
+    """Rows whose record could not be read whole; none where no record's text is kept."""
+    return F.col(CORRUPT_RECORD).isNotNull() if CORRUPT_RECORD in df.columns else F.lit(False)
+
+
 def deduplicate(df: DataFrame) -> DataFrame:
-    """One row per transaction id; all NULL ids together count as one id."""
-    return keep_one(df, ["transaction_id"])
+    """One row per transaction id; all NULL ids together count as one id.
+
+    Malformed rows compete with no others: one stays for each id and record.
+    """
+    return keep_one(df, ["transaction_id", *(c for c in [CORRUPT_RECORD] if c in df.columns)])
 
 
 def normalize_timestamp(df: DataFrame) -> DataFrame:
@@ -118,12 +138,14 @@ def routed(bronze: DataFrame) -> DataFrame:
 
     Scan, one shuffle for the ids, then everything else in one projection.
     Written with ``partitionBy("layer")`` this fills both tables in one job.
+    Malformed rows are rejected once, whatever could be read of them.
     """
     clean = normalize_timestamp(deduplicate(require_columns(bronze)))
     ok, low = complete(clean), F.col("amount") <= 0
     rejected = F.lit(QUARANTINE)
     layers = (
-        F.when(ok & (F.col("amount") > 0), F.array(F.lit(SILVER)))
+        F.when(malformed(clean), F.array(rejected))
+        .when(ok & (F.col("amount") > 0), F.array(F.lit(SILVER)))
         .when(~ok & low, F.array(rejected, rejected))
         .otherwise(F.array(rejected))
     )
@@ -138,6 +160,7 @@ def quarantine_reasons(bronze: DataFrame) -> DataFrame:
         F.when(absent(unique, c), F.lit(f"missing {c}"))
         for c in TRANSACTION_COLUMNS
     ]
+    checks.insert(0, F.when(malformed(unique), F.lit("malformed record")))
     checks.append(
         F.when(F.col("timestamp").isNotNull() & parsed.isNull(), F.lit("unreadable timestamp"))
     )
@@ -148,14 +171,25 @@ def quarantine_reasons(bronze: DataFrame) -> DataFrame:
 
 
 def stage_counts(bronze: DataFrame) -> DataFrame:
-    """Row counts after each silver stage, all from one deduplication."""
-    unique = normalize_timestamp(deduplicate(require_columns(bronze)))
-    ok, low = complete(unique), F.col("amount") <= 0
-    counts = unique.agg(
+    """Row counts after each silver stage, all from one scan and one deduplication.
+
+    The copies of an id are counted where the best of them is taken, so the
+    number of raw rows needs no scan of its own, and a task that is run again
+    counts once.
+    """
+    keys = ["transaction_id", *(c for c in [CORRUPT_RECORD] if c in bronze.columns)]
+    rest = [c for c in require_columns(bronze).columns if c not in keys]
+    # The greatest by the remaining columns, as in keep_one.
+    best = F.max(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_best")
+    unique = bronze.groupBy(*keys).agg(best, F.count(F.lit(1)).alias("_copies")).select(*keys, "_copies", "_best.*")
+    unique = normalize_timestamp(unique)
+    bad = malformed(unique)
+    ok, low = complete(unique) & ~bad, (F.col("amount") <= 0) & ~bad
+    return unique.agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("bronze_rows"),
         F.count(F.lit(1)).alias("unique_rows"),
         F.count_if(ok).alias("complete_rows"),
         F.count_if(~ok).alias("incomplete_rows"),
         F.count_if(ok & (F.col("amount") > 0)).alias("silver_rows"),
         (F.count_if(~ok) + F.count_if(low)).alias("quarantine_rows"),
     )
-    return side_by_side(bronze.agg(F.count(F.lit(1)).alias("bronze_rows")), counts)

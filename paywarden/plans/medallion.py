@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paywarden.operators.metrics import run_metrics_from_counts
 from paywarden.operators.quality import QUARANTINE, SILVER
-from paywarden.plans.steps import Gold, Settings, write_bronze, write_cleansed, write_gold
+from paywarden.plans.steps import Gold, Settings, read_malformed, write_bronze, write_cleansed, write_gold
+from paywarden.schema import AUDIT_COLUMNS
 from paywarden.sources.run_log import log_pipeline_run
 from paywarden.sources.tables import read_parquet
 from paywarden.sources.uploads import ingest
@@ -22,6 +23,7 @@ class Run:
     source: str
     silver: DataFrame
     quarantine: DataFrame
+    malformed: DataFrame
     gold: Gold
     metrics: DataFrame
 
@@ -39,6 +41,8 @@ def run_medallion(
 
     The newest CSV or JSON in ``uploaded_dir`` is taken; without one, ``fallback``,
     logged as ``fallback_source``.  ``multi_line`` allows line breaks in a CSV's quotes.
+    A record that cannot be read whole ends in quarantine, its text and file in
+    ``Run.malformed``; bronze tells each row's file and the time it came in.
 
     Tables go to ``bronze/``, ``cleansed/layer=silver|quarantine/`` and
     ``gold/`` below ``out_dir``; the log is ``gold/pipeline_metadata.parquet``.
@@ -48,7 +52,7 @@ def run_medallion(
     started, start_time = time.time(), datetime.now()
     source, records = "unknown", 0
     try:
-        incoming, source = ingest(spark, uploaded_dir, fallback, fallback_source, multi_line)
+        incoming, source = ingest(spark, uploaded_dir, fallback, fallback_source, multi_line, audit=True)
         bronze_path = f"{root}/bronze/transactions_bronze.parquet"
         write_bronze(incoming, bronze_path)
         bronze = read_parquet(spark, bronze_path, incoming.schema)
@@ -62,4 +66,5 @@ def run_medallion(
     metrics = run_metrics_from_counts(
         spark, counts[SILVER], gold.alert_rows, counts[QUARANTINE], started, time.time()
     )
-    return Run(run_id, source, silver, quarantine, gold, metrics)
+    rejected = quarantine.drop(*AUDIT_COLUMNS)
+    return Run(run_id, source, silver, rejected, read_malformed(quarantine), gold, metrics)

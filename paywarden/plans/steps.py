@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from paywarden.operators.features import behaviour
 from paywarden.operators.marts import table_kpis
 from paywarden.operators.metrics import run_metrics
-from paywarden.operators.quality import QUARANTINE, SILVER, routed
+from paywarden.operators.quality import QUARANTINE, SILVER, malformed, require_types, routed
 from paywarden.operators.rules import detect_fraud_rules
 from paywarden.operators.scoring import compute_risk_score, score_bounds
 from paywarden.schema import (
+    AUDIT_COLUMNS,
     CONTEXT_COLUMNS,
     FeatureConfig,
     RuleConfig,
@@ -41,8 +42,11 @@ def _rows() -> dict:
 
 
 def write_bronze(bronze: DataFrame, path: str) -> int:
-    """Store the rows as they came; returns how many there are."""
-    return write_parquet(bronze, path, observed=_rows())["rows"]
+    """Store the rows as they came; returns how many there are.
+
+    Required columns must be there and of bronze's types, or nothing is written.
+    """
+    return write_parquet(require_types(bronze), path, observed=_rows())["rows"]
 
 
 def run_bronze_layer(
@@ -53,7 +57,7 @@ def run_bronze_layer(
     multi_line: bool = False,
 ) -> str:
     """Bring the newest upload (or the fallback) into bronze; returns its path."""
-    source, _ = ingest(spark, uploaded_dir, fallback, multi_line=multi_line)
+    source, _ = ingest(spark, uploaded_dir, fallback, multi_line=multi_line, audit=True)
     path = f"{bronze_dir.rstrip('/')}/transactions_bronze.parquet"
     write_bronze(source, path)
     return path
@@ -73,10 +77,16 @@ def read_layer(spark: SparkSession, cleansed_path: str, layer: str, like: DataFr
     return table.where(F.col("layer") == layer).drop("layer")
 
 
+def read_malformed(quarantine_table: DataFrame) -> DataFrame:
+    """The malformed records among quarantined rows, with their text and file."""
+    return quarantine_table.where(malformed(quarantine_table))
+
+
 def write_cleansed(bronze: DataFrame, cleansed_path: str) -> tuple[DataFrame, DataFrame, dict]:
     """Silver and quarantine from one scan, one shuffle and one write.
 
-    Returns both tables and their observed row counts by layer.
+    Returns both tables and their observed row counts by layer.  Quarantine
+    keeps the audit columns that bronze may have, silver does without.
     """
     rows = routed(bronze)
     counts = write_parquet(
@@ -88,7 +98,7 @@ def write_cleansed(bronze: DataFrame, cleansed_path: str) -> tuple[DataFrame, Da
     )
     spark = bronze.sparkSession
     silver, rejected = (read_layer(spark, cleansed_path, n, rows) for n in (SILVER, QUARANTINE))
-    return silver, rejected, counts
+    return silver.drop(*AUDIT_COLUMNS), rejected, counts
 
 
 def run_silver_layer(spark: SparkSession, bronze_path: str, cleansed_path: str) -> tuple[str, str]:
@@ -119,7 +129,7 @@ def generate_fraud_features(
     spark: SparkSession, silver_path: str, features_path: str, settings: Settings = Settings()
 ) -> dict:
     """Write the features table; returns its row count and score bounds."""
-    silver = read_parquet(spark, silver_path)
+    silver = read_parquet(spark, silver_path).drop(*AUDIT_COLUMNS)
     return write_parquet(
         _feature_columns(silver, settings), features_path, observed=_observed_features()
     )
@@ -166,7 +176,7 @@ def write_gold(silver: DataFrame, gold_dir: str, settings: Settings = Settings()
 def run_gold_layer(
     spark: SparkSession, silver_path: str, gold_dir: str, settings: Settings = Settings()
 ) -> Gold:
-    return write_gold(read_parquet(spark, silver_path), gold_dir, settings)
+    return write_gold(read_parquet(spark, silver_path).drop(*AUDIT_COLUMNS), gold_dir, settings)
 
 
 def compute_pipeline_metrics(

@@ -32,6 +32,12 @@ BRONZE_SCHEMA = T.StructType(
 
 TRANSACTION_COLUMNS = SILVER_SCHEMA.fieldNames()
 
+# What bronze may carry besides: the text of a record that could not be read
+# whole, the file each row came from, and when it came in.
+CORRUPT_RECORD = "_corrupt_record"
+LINEAGE_COLUMNS = ["_source_file", "_ingested_at"]
+AUDIT_COLUMNS = [CORRUPT_RECORD, *LINEAGE_COLUMNS]
+
 FEATURE_TYPES = {
     "transaction_velocity": T.LongType(),
     "average_transaction_amount": T.DoubleType(),

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from paywarden.schema import BRONZE_SCHEMA
+from paywarden.schema import AUDIT_COLUMNS, BRONZE_SCHEMA, CORRUPT_RECORD
 
 # Texts that mean "no value" in an uploaded CSV.
 NO_VALUE_TEXTS = [
@@ -24,29 +25,77 @@ def _typed(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def _unused(name: str, taken: Sequence[str]) -> str:
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _malformed(record: Column, fields: int) -> Column:
+    """Does the text of a CSV record hold more than ``fields`` fields or a quote left open?
+
+    Doubled quotes stand for one and go first; then a quoted field reaches from
+    a separator to the next quote that a separator follows.
+    """
+    plain = F.regexp_replace(F.replace(record, F.lit('""')), r'(^|,)"[^"]*"(?=,|\r?\z)', "$1")
+    separators = F.length(plain) - F.length(F.replace(plain, F.lit(",")))
+    return (separators >= fields) | plain.rlike('(^|,)"')
+
+
+def _audited(corrupt: Column) -> dict[str, Column]:
+    """The audit columns of rows read from files."""
+    return {
+        CORRUPT_RECORD: corrupt,
+        "_source_file": F.col("_metadata.file_path"),
+        "_ingested_at": F.current_timestamp(),
+    }
+
+
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    multi_line: bool = False,
+    audit: bool = False,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
     """CSV with a header; columns are matched by name, in any order.
 
-    A number that cannot be read becomes NULL, which quarantine picks up.  A
-    record with more fields than the header raises when it is read: the surplus
-    has no column to go to.  Missing last fields are NULL.  ``multi_line`` is
-    for quoted line breaks; such a file is read by one task.
+    ``columns`` names the fields of files without a header line.  A number that
+    cannot be read becomes NULL, which quarantine picks up.  Missing last fields
+    are NULL.  ``multi_line`` is for quoted line breaks; such a file is read by
+    one task.
+
+    A record with more fields than columns, or with a quote that is never
+    closed, is malformed: what it goes on with has no column to go to.  With
+    ``audit`` it is kept, with its whole text in ``_corrupt_record``, and every
+    row tells its file and the time it came in; otherwise reading it raises.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
-    names = reader.csv(path).columns
+    reader = spark.read.option("escape", '"').option("multiLine", multi_line)
+    if columns is None:
+        reader = reader.option("header", True)
+    names = list(columns) if columns is not None else reader.csv(path).columns
     if not names:
         return reader.csv(path)
-    # One column more than the header has holds what a longer record goes on with.
-    surplus = "_surplus"
-    while surplus in names:
-        surplus += "_"
-    raw = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in [*names, surplus]])).csv(path)
-    problem = F.concat(F.lit("CSV record with too many fields, from: "), F.col(surplus))
-    longer = F.when(F.col(surplus).isNotNull(), F.raise_error(problem).cast("string"))
+    corrupt = _unused(CORRUPT_RECORD, names)
+    # All columns are parsed, or records would be judged by the wanted ones alone.
+    reader = reader.option("columnNameOfCorruptRecord", corrupt).option("columnPruning", False)
+    raw = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in [*names, corrupt]])).csv(path)
+    # Spark sets the text of every record with another number of fields, short ones too.
+    record = F.col(corrupt)
+    text = F.when(record.isNotNull(), F.when(_malformed(record, len(names)), record))
+    stop = F.lit(None).cast("string")
+    if audit:
+        raw = raw.withColumns(_audited(text))
+    else:
+        problem = F.concat(F.lit("CSV record with too many fields or an open quote: "), text)
+        stop = F.when(record.isNotNull(), F.when(text.isNotNull(), F.raise_error(problem).cast("string")))
+    added = AUDIT_COLUMNS if audit else []
     cleaned = {
-        c: longer.when(~F.col(f"`{c}`").isin(NO_VALUE_TEXTS), F.col(f"`{c}`")) for c in names
+        c: F.coalesce(stop, F.when(~F.col(f"`{c}`").isin(NO_VALUE_TEXTS), F.col(f"`{c}`")))
+        for c in names
+        if c not in added
     }
-    return _typed(raw.withColumns(cleaned).drop(surplus))
+    return _typed(raw.withColumns(cleaned).select(*[F.col(f"`{c}`") for c in cleaned], *added))
 
 
 def _plain_time(text: Column) -> Column:
@@ -68,22 +117,34 @@ def _plain_time(text: Column) -> Column:
 
 
 def read_json(
-    spark: SparkSession, path: str, lines: bool = False, extra_fields: bool = False
+    spark: SparkSession, path: str, lines: bool = False, extra_fields: bool = False, audit: bool = False
 ) -> DataFrame:
     """An array of records, or one record per line with ``lines``.
 
     An array is read by one task per file; large inputs should come as lines.
     ``extra_fields`` keeps fields beyond the bronze columns, as text where they
-    are single values; finding their names reads the input once more.
+    are single values; finding their names reads the input once more.  Numbers
+    may be given as texts.
+
+    With ``audit`` a record that is no JSON keeps its text in
+    ``_corrupt_record`` (of an array, the text of the file), and every row tells
+    its file and the time it came in.
     """
     reader = spark.read.option("multiLine", not lines)
-    schema = T.StructType(list(BRONZE_SCHEMA.fields))
+    schema = T.StructType([T.StructField(f.name, T.StringType()) for f in BRONZE_SCHEMA.fields])
     if extra_fields:
-        known = {c.lower() for c in schema.fieldNames()}
+        known = {c.lower() for c in [*schema.fieldNames(), *AUDIT_COLUMNS]}
         found = reader.option("primitivesAsString", True).json(path).schema.fields
         schema = T.StructType([*schema.fields, *(f for f in found if f.name.lower() not in known)])
+    names = schema.fieldNames()
+    if audit:
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_RECORD)
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT_RECORD, T.StringType())])
     raw = reader.schema(schema).json(path)
-    return raw.withColumn("timestamp", _plain_time(F.col("timestamp")))
+    if audit:
+        raw = raw.withColumns(_audited(F.col(CORRUPT_RECORD)))
+    rows = raw.select(*[F.col(f"`{c}`") for c in names], *(AUDIT_COLUMNS if audit else []))
+    return _typed(rows.withColumn("timestamp", _plain_time(F.col("timestamp"))))
 
 
 def _newest(spark: SparkSession, folder: str) -> tuple[str, bool] | None:
@@ -132,19 +193,26 @@ def ingest(
     fallback: DataFrame | None = None,
     fallback_source: str = "synthetic",
     multi_line: bool = False,
+    audit: bool = False,
 ) -> tuple[DataFrame, str]:
     """The newest upload, else the fallback, and which of the two it was.
 
     ``.jsonl`` files and folders of part files hold one record per line, other
     JSON files an array.  ``multi_line`` allows quoted line breaks in a CSV.
+    ``audit`` keeps malformed records and adds the audit columns; the fallback's
+    rows come from no file.
     """
     newest = _newest(spark, upload_folder)
     if newest:
         path, parts = newest
         if path.endswith(".csv"):
-            return read_csv(spark, path, multi_line), "uploaded"
+            return read_csv(spark, path, multi_line, audit), "uploaded"
         lines = parts or path.endswith(".jsonl")
-        return read_json(spark, path, lines, extra_fields=True), "uploaded"
+        return read_json(spark, path, lines, extra_fields=True, audit=audit), "uploaded"
     if fallback is None:
         raise ValueError(f"no CSV or JSON in {upload_folder} and no fallback given")
+    if audit:
+        none = F.lit(None).cast("string")
+        known = {CORRUPT_RECORD: none, "_source_file": none, "_ingested_at": F.current_timestamp()}
+        fallback = fallback.withColumns({c: v for c, v in known.items() if c not in fallback.columns})
     return fallback, fallback_source

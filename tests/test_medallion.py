@@ -136,3 +136,26 @@ def test_path_steps_on_clean_and_on_all_bad_input(spark, tmp_path):
         run_gold_layer(spark, silver_path, gold)
         got = compute_pipeline_metrics(spark, silver_path, f"{gold}/fraud_alerts.parquet", rejected_path, 0.0, 1.0)
         assert (got["total_transactions_processed"], got["invalid_records"]) == expected
+
+
+def test_a_malformed_record_fails_no_run(spark, incoming, tmp_path):
+    (tmp_path / "up").mkdir()
+    header = ",".join(TRANSACTION_COLUMNS)
+    good = "t1,u,m,12.5,here,d,upi,2024-03-01 12:00:00,success"
+    (tmp_path / "up" / "a.csv").write_text("\n".join([header, good, good + ",,lost", good.replace("t1", "t2")]) + "\n")
+    done = medallion.run_medallion(spark, str(tmp_path / "up"), str(tmp_path / "out"))
+    assert done.silver.columns == TRANSACTION_COLUMNS
+    assert column(done.silver, "transaction_id") == ["t1", "t2"]
+    row = done.malformed.first()
+    assert row["_corrupt_record"] == good + ",,lost" and row["_source_file"].endswith("/up/a.csv")
+    assert done.metrics.first().invalid_records == 1
+    bronze_table = read_parquet(spark, str(tmp_path / "out/bronze/transactions_bronze.parquet"))
+    assert bronze_table.where("_source_file is not null and _ingested_at is not null").count() == 3
+
+
+def test_bronze_takes_no_wrong_types(spark, incoming, tmp_path):
+    wrong = incoming.selectExpr("* except (amount, user_id)", "'x' as amount")
+    with pytest.raises(ValueError, match="missing column user_id; column amount is string, expected double"):
+        steps.write_bronze(wrong, str(tmp_path / "b"))
+    assert not (tmp_path / "b").exists()
+    assert steps.write_bronze(incoming.selectExpr("* except (timestamp)", "try_cast(timestamp as timestamp) as timestamp"), str(tmp_path / "b")) == incoming.count()

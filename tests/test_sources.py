@@ -4,7 +4,7 @@ import os
 import pytest
 
 from frames import bronze
-from paywarden.operators.quality import routed
+from paywarden.operators.quality import quarantine_reasons, routed, stage_counts
 from paywarden.schema import BRONZE_SCHEMA, RUN_LOG_SCHEMA
 from paywarden.sources import run_log, tables, uploads
 
@@ -176,3 +176,54 @@ def test_only_the_top_level_is_searched(spark, tmp_path):
     put(up / "a.csv", HEADER, LINE, mtime=1_000_000)
     put(up / "archive" / "b.csv", HEADER, LINE, mtime=2_000_000)
     assert uploads.latest_upload(spark, str(up)).endswith("/kept.csv/a.csv")
+
+
+def test_malformed_records_keep_their_text(spark, tmp_path):
+    bad = [
+        LINE.replace("t1", "t2") + ",more",
+        LINE.replace("t1", "t3") + ",,lost",
+        LINE.replace("t1", "t4").replace("here", '"here'),
+        LINE.replace("t1", "t5") + ",,",
+    ]
+    quoted = LINE.replace("t1", "t6").replace("here", '"a ""b"", c"')
+    inches = LINE.replace("t1", "t7").replace("here", '5" and 6" wide')
+    short = LINE.replace("t1", "t8").removesuffix(",success")
+    path = put(tmp_path / "a.csv", HEADER, LINE, *bad, quoted, inches, short)
+    rows = {r.transaction_id: r for r in uploads.read_csv(spark, path, audit=True).collect()}
+    assert [rows[f"t{i}"]._corrupt_record for i in (2, 3, 4, 5)] == bad
+    assert [rows[f"t{i}"]._corrupt_record for i in (1, 6, 7, 8)] == [None] * 4
+    assert (rows["t6"].location, rows["t7"].location) == ('a "b", c', '5" and 6" wide')
+    assert rows["t8"].transaction_status is None
+    assert {r._source_file.rsplit("/", 1)[1] for r in rows.values()} == {"a.csv"}
+    assert all(r._ingested_at for r in rows.values())
+    # Whatever columns are asked for.
+    assert len(uploads.read_csv(spark, path, audit=True).where("_corrupt_record is not null").select("amount").collect()) == 4
+    for line in bad:
+        with pytest.raises(Exception, match="too many fields"):
+            uploads.read_csv(spark, put(tmp_path / "b.csv", HEADER, line)).collect()
+
+
+def test_malformed_rows_go_to_quarantine_once_and_win_no_contest(spark, tmp_path):
+    lines = [LINE, LINE.replace("success", "zzz") + ",x", LINE.replace("12.5", "-9") + ",x", LINE.replace("12.5", "-9") + ",x"]
+    rows = uploads.read_csv(spark, put(tmp_path / "a.csv", HEADER, *lines), audit=True)
+    got = routed(rows)
+    assert [(r.amount, r.transaction_status) for r in got.where("layer = 'silver'").collect()] == [(12.5, "success")]
+    assert got.where("layer = 'quarantine'").count() == 2
+    counts = stage_counts(rows).first().asDict()
+    assert counts == {"bronze_rows": 4, "unique_rows": 3, "complete_rows": 1, "incomplete_rows": 2, "silver_rows": 1, "quarantine_rows": 2}
+    reasons = [r.quarantine_reasons for r in quarantine_reasons(rows).collect()]
+    assert sorted(map(list, reasons)) == [["malformed record"], ["malformed record", "amount not positive"]]
+
+
+def test_json_lines_that_are_no_json_keep_their_text(spark, tmp_path):
+    path = put(tmp_path / "a.jsonl", '{"transaction_id": "a", "amount": "2.5"}', '{"transaction_id": "b", "amount": ', "null", '{"transaction_id": 3, "amount": "x"}')
+    rows = uploads.read_json(spark, path, lines=True, audit=True).collect()
+    assert {(r.transaction_id, r.amount) for r in rows if r._corrupt_record is None} >= {("a", 2.5), ("3", None)}
+    assert [r._corrupt_record for r in rows if r._corrupt_record] == ['{"transaction_id": "b", "amount": ', "null"]
+    assert all(r._source_file.endswith("/a.jsonl") and r._ingested_at for r in rows)
+
+
+def test_fallback_rows_come_from_no_file(spark, tmp_path):
+    rows, _ = uploads.ingest(spark, str(tmp_path), bronze(spark, [{}]), audit=True)
+    row = rows.first()
+    assert (row._corrupt_record, row._source_file) == (None, None) and row._ingested_at

@@ -78,6 +78,19 @@ quarantine AS (
   SELECT * FROM clean WHERE amount <= 0
 )"""
 
+_UPLOADED = _TX + """,
+uploaded AS (
+  SELECT *,
+    concat_ws(',', transaction_id, user_id, merchant_id, CAST(CAST(floor(amount) AS BIGINT) AS VARCHAR),
+      CASE WHEN n % 83 = 0 THEN '"' || location WHEN n % 79 = 0 THEN '"' || location || ', the ""old"" town"' ELSE location END,
+      device_id, payment_method, strftime("timestamp", '%Y-%m-%d %H:%M:%S'))
+    || CASE WHEN n % 97 = 0 THEN ',' || transaction_status || ',more'
+            WHEN n % 89 = 0 THEN ',' || transaction_status || ',,lost'
+            WHEN n % 73 = 0 THEN '' ELSE ',' || transaction_status END AS record,
+    n % 97 = 0 OR n % 89 = 0 OR n % 83 = 0 AS malformed
+  FROM (SELECT *, CAST(transaction_id AS BIGINT) AS n FROM tx)
+)"""
+
 
 def _features(source: str) -> str:
     """Features and rule context of ``source``."""
@@ -213,6 +226,12 @@ def all_oracle_sql() -> dict[str, str]:
        (SELECT count(*) FROM (SELECT * FROM clean EXCEPT SELECT * FROM valid)) AS incomplete_rows,
        (SELECT count(*) FROM silver) AS silver_rows,
        (SELECT count(*) FROM quarantine) AS quarantine_rows""",
+        "quarantine_malformed": _with(_UPLOADED) + "SELECT transaction_id, record FROM uploaded WHERE malformed",
+        "upload_roundtrip": _with(_UPLOADED)
+        + """SELECT transaction_id, user_id, merchant_id, floor(amount)::DOUBLE AS amount,
+       CASE WHEN n % 79 = 0 THEN location || ', the "old" town' ELSE location END AS location,
+       device_id, payment_method, date_trunc('second', "timestamp") AS "timestamp", transaction_status
+FROM uploaded WHERE NOT malformed AND n % 73 <> 0 AND floor(amount) > 0""",
         "transaction_velocity": _feature("transaction_velocity"),
         "avg_transaction_amount": _feature(
             "round(average_transaction_amount, 6) AS average_transaction_amount"

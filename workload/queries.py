@@ -14,15 +14,18 @@ from paywarden.plans.steps import stage_features, write_cleansed
 from paywarden.schema import (
     BURST_ALERT,
     CONTEXT_COLUMNS,
+    CORRUPT_RECORD,
     FEATURE_COLUMNS,
     LOCATION_ALERT,
     NEW_DEVICE_ALERT,
     RISK_ALERT,
+    TRANSACTION_COLUMNS,
     RuleConfig,
     SkewConfig,
 )
 from paywarden.sources.tables import shared_folder, stage
-from workload.views import bronze, transactions
+from paywarden.sources.uploads import read_csv
+from workload.views import bronze, transactions, uploaded_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -160,6 +163,27 @@ def quarantine_reasons(spark, sf_dir):
     return reasons.withColumn("quarantine_reasons", F.array_join("quarantine_reasons", "; "))
 
 
+def _uploaded(spark, sf_dir):
+    """The events as uploaded CSV, malformed lines and all, routed to silver and quarantine."""
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/upload-{uuid.uuid4().hex}"
+    uploaded_lines(spark, sf_dir).write.text(path)
+    return quality.routed(read_csv(spark, path, audit=True, columns=TRANSACTION_COLUMNS))
+
+
+@_query
+def quarantine_malformed(spark, sf_dir):
+    """Records of an upload that cannot be read whole, with their text."""
+    rows = _uploaded(spark, sf_dir).where(F.col("layer") == quality.QUARANTINE)
+    return rows.where(quality.malformed(rows)).select("transaction_id", F.col(CORRUPT_RECORD).alias("record"))
+
+
+@_query
+def upload_roundtrip(spark, sf_dir):
+    """What of the same upload is fit for silver."""
+    rows = _uploaded(spark, sf_dir).where(F.col("layer") == quality.SILVER)
+    return rows.select(*TRANSACTION_COLUMNS)
+
+
 @_query
 def dq_counts(spark, sf_dir):
     return quality.stage_counts(bronze(spark, sf_dir))

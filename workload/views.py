@@ -60,3 +60,29 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .select(*TRANSACTION_COLUMNS)
     )
+
+
+def uploaded_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One line of a CSV without a header per event; by its id a line may be malformed.
+
+    Some go on after the last field, some with empty fields first, some open a
+    quote and never close it, some lack their last field, which is no fault of
+    form.  Others quote a field that has commas and quotes inside.
+    """
+    number = F.col("transaction_id").cast("long")
+    location = (
+        F.when(number % 83 == 0, F.concat(F.lit('"'), F.col("location")))
+        .when(number % 79 == 0, F.concat(F.lit('"'), F.col("location"), F.lit(', the ""old"" town"')))
+        .otherwise(F.col("location"))
+    )
+    fields = [
+        F.col("transaction_id"), F.col("user_id"), F.col("merchant_id"), F.floor("amount").cast("string"), location,
+        F.col("device_id"), F.col("payment_method"), F.date_format("timestamp", TIMESTAMP_FORMAT),
+    ]
+    end = (
+        F.when(number % 97 == 0, F.concat(F.lit(","), F.col("transaction_status"), F.lit(",more")))
+        .when(number % 89 == 0, F.concat(F.lit(","), F.col("transaction_status"), F.lit(",,lost")))
+        .when(number % 73 == 0, F.lit(""))
+        .otherwise(F.concat(F.lit(","), F.col("transaction_status")))
+    )
+    return transactions(spark, sf_dir).select(F.concat(F.concat_ws(",", *fields), end).alias("value"))
