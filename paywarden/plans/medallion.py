@@ -12,6 +12,7 @@ from paywarden.operators.metrics import run_metrics_from_counts
 from paywarden.operators.quality import QUARANTINE, SILVER
 from paywarden.plans.steps import Gold, Settings, read_malformed, write_bronze, write_cleansed, write_gold
 from paywarden.schema import AUDIT_COLUMNS
+from paywarden.sources.releases import current_folder, new_folder, release
 from paywarden.sources.run_log import log_pipeline_run
 from paywarden.sources.tables import read_parquet
 from paywarden.sources.uploads import ingest
@@ -28,6 +29,11 @@ class Run:
     metrics: DataFrame
 
 
+def current_run(spark: SparkSession, out_dir: str) -> str | None:
+    """The folder with the tables of the last atomic run that ended well."""
+    return current_folder(spark, out_dir)
+
+
 def run_medallion(
     spark: SparkSession,
     uploaded_dir: str,
@@ -36,6 +42,7 @@ def run_medallion(
     settings: Settings = Settings(),
     fallback_source: str = "synthetic",
     multi_line: bool = False,
+    atomic: bool = False,
 ) -> Run:
     """Run all steps and log the run, also when it fails.
 
@@ -46,9 +53,14 @@ def run_medallion(
 
     Tables go to ``bronze/``, ``cleansed/layer=silver|quarantine/`` and
     ``gold/`` below ``out_dir``; the log is ``gold/pipeline_metadata.parquet``.
+
+    With ``atomic`` they go to a folder of this run below ``out_dir``, which
+    takes the place of the last run's when all of them are there
+    (``current_run``); a run that fails or dies changes none that are read.
     """
-    root = out_dir.rstrip("/")
-    log_path = f"{root}/gold/pipeline_metadata.parquet"
+    home = out_dir.rstrip("/")
+    root = new_folder(home) if atomic else home
+    log_path = f"{home}/gold/pipeline_metadata.parquet"
     started, start_time = time.time(), datetime.now()
     source, records = "unknown", 0
     try:
@@ -59,6 +71,8 @@ def run_medallion(
         silver, quarantine, counts = write_cleansed(bronze, f"{root}/cleansed")
         gold = write_gold(silver, f"{root}/gold", settings)
         records = gold.rows
+        if atomic:
+            release(spark, home, root)
     except Exception:
         log_pipeline_run(spark, log_path, records, "FAILED", source, start_time, datetime.now())
         raise

@@ -188,10 +188,15 @@ def compute_pipeline_metrics(
     return run_metrics(*tables, start_time, end_time).first().asDict()
 
 
-def load_kpis(spark: SparkSession, gold_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """KPIs, alerts and features of the last run; a missing table is an error."""
+def load_kpis(
+    spark: SparkSession, gold_dir: str, log_path: str | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """KPIs, alerts and features of the last run; a missing table is an error.
+
+    The run log lies beside the tables unless ``log_path`` names it.
+    """
     root = gold_dir.rstrip("/")
     alerts = read_parquet(spark, f"{root}/fraud_alerts.parquet")
     features = read_parquet(spark, f"{root}/features_gold.parquet")
-    log = read_run_log(spark, f"{root}/pipeline_metadata.parquet")
+    log = read_run_log(spark, log_path or f"{root}/pipeline_metadata.parquet")
     return table_kpis(features, alerts, log), alerts, features

@@ -35,9 +35,13 @@ def write_parquet(
     partition_by: Sequence[str] = (),
     open_partitions: int = 0,
     observed: Mapping[str, Column] | None = None,
+    only_touched: bool = False,
 ) -> dict:
     """Write and return the observed aggregates, taken from the same pass.
 
+    With ``only_touched`` the partitions that ``df`` has rows for are replaced
+    and all others stay; otherwise the whole table is replaced.
+
     With few partition values, ``open_partitions`` of them are written side by
     side by each task, which spares sorting the rows by partition.
 
@@ -50,8 +54,9 @@ def write_parquet(
         df = df.observe(watch, *[column.alias(name) for name, column in observed.items()])
     writer = df.write.mode(mode)
     if partition_by:
-        # The whole table is replaced, also partitions that are now empty.
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
+        # Replacing the whole table takes partitions away that are now empty.
+        scope = "dynamic" if only_touched else "static"
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", scope)
     with _setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", open_partitions):
         writer.parquet(path)
     return dict(watch.get) if watch else {}

@@ -249,6 +249,11 @@ FROM uploaded WHERE NOT malformed AND n % 73 <> 0 AND floor(amount) > 0""",
         "first_seen_lookup": _F + "SELECT * FROM first_seen",
         "first_seen_device": _F
         + 'SELECT transaction_id, user_id, device_id, "timestamp", first_seen_device_ts FROM feats',
+        "first_seen_two_batches": _F
+        + 'SELECT transaction_id, user_id, device_id, "timestamp", first_seen_device_ts FROM feats',
+        "feature_days_rerun": everything,
+        "day_slice": _with(_TX)
+        + f"""SELECT {_COLUMNS} FROM tx WHERE "timestamp" >= '2024-01-10' AND "timestamp" < '2024-01-12'""",
         "feature_min_max": _S + "SELECT * FROM bounds",
         "normalized_features": _S + "SELECT transaction_id, tv_norm, ds_norm, lr_norm FROM normed",
         "risk_score": _S + "SELECT transaction_id, risk_score FROM scored",

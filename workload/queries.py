@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 from functools import lru_cache
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paywarden.functions.times import without_time_zone
 from paywarden.operators import features as feat, hot_users, marts, metrics, quality, rules, scoring
+from paywarden.operators.first_seen import with_first_seen
+from paywarden.plans import incremental
 from paywarden.plans.steps import stage_features, write_cleansed
 from paywarden.schema import (
     BURST_ALERT,
@@ -23,6 +26,7 @@ from paywarden.schema import (
     RuleConfig,
     SkewConfig,
 )
+from paywarden.sources.dated import read_days, write_days
 from paywarden.sources.tables import shared_folder, stage
 from paywarden.sources.uploads import read_csv
 from workload.views import bronze, transactions, uploaded_lines
@@ -165,7 +169,7 @@ def quarantine_reasons(spark, sf_dir):
 
 def _uploaded(spark, sf_dir):
     """The events as uploaded CSV, malformed lines and all, routed to silver and quarantine."""
-    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/upload-{uuid.uuid4().hex}"
+    path = _new_path(spark, "upload")
     uploaded_lines(spark, sf_dir).write.text(path)
     return quality.routed(read_csv(spark, path, audit=True, columns=TRANSACTION_COLUMNS))
 
@@ -247,6 +251,44 @@ def first_seen_device(spark, sf_dir):
     return rows.select("transaction_id", "user_id", "device_id", "timestamp", "first_seen_device_ts")
 
 
+# --- batch by batch, day by day --------------------------------------------
+
+
+def _new_path(spark, name):
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+@_query
+def first_seen_two_batches(spark, sf_dir):
+    """First times from a stored state that two batches were merged into."""
+    rows, state = transactions(spark, sf_dir), _new_path(spark, "first-seen")
+    early = F.col("timestamp") < F.lit("2024-01-16").cast("timestamp")
+    batches = [rows.where(early), rows.where(~early)]
+    parts = [with_first_seen(b, incremental.advance_first_seen(b, state)) for b in batches]
+    seen = parts[0].unionByName(parts[1])
+    return seen.select("transaction_id", "user_id", "device_id", "timestamp", "first_seen_device_ts")
+
+
+@_query
+def feature_days_rerun(spark, sf_dir):
+    """A dated features table of which two days were wrong and are computed anew."""
+    rows, path, state = transactions(spark, sf_dir), _new_path(spark, "features"), _new_path(spark, "first-seen")
+    days = [dt.date(2024, 1, 10), dt.date(2024, 1, 20)]
+    faulty = F.when(F.to_date("timestamp").isin(days), -F.col("amount")).otherwise(F.col("amount"))
+    wrong = feat.behaviour(rows.withColumn("amount", faulty)).where("amount > -50")
+    write_days(wrong, path)
+    incremental.refresh_feature_days(rows, path, days, incremental.advance_first_seen(rows, state))
+    return read_days(spark, path).select("transaction_id", *FEATURE_COLUMNS, *CONTEXT_COLUMNS)
+
+
+@_query
+def day_slice(spark, sf_dir):
+    """Two days of a dated table; files of other days are not opened."""
+    path = _new_path(spark, "silver-days")
+    write_days(transactions(spark, sf_dir), path)
+    return read_days(spark, path, dt.date(2024, 1, 10), dt.date(2024, 1, 11)).select(*TRANSACTION_COLUMNS)
+
+
 # --- scores ----------------------------------------------------------------
 
 
@@ -417,7 +459,7 @@ def run_metrics(spark, sf_dir):
 @_query
 def pipeline_metrics(spark, sf_dir):
     """The same counts from layers written apart, so that each is read alone."""
-    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/cleansed-{uuid.uuid4().hex}"
+    path = _new_path(spark, "cleansed")
     good, bad, _ = write_cleansed(bronze(spark, sf_dir), path)
     features, bounds = stage_features(good)
     raised = rules.detect_fraud_rules(scoring.compute_risk_score(features, bounds))
