@@ -1,0 +1,115 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from frames import NOON, after, bronze, silver
+from paywarden.operators.features import behaviour
+from paywarden.operators.quality import QUARANTINE, SILVER, routed
+from paywarden.schema import SILVER_SCHEMA, TRANSACTION_COLUMNS
+from paywarden.streaming import silver as cleansing, velocity
+
+
+def same(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def add_file(rows, folder):
+    """One more file, which a stream reads as a batch of its own."""
+    rows.coalesce(1).write.mode("append").parquet(folder)
+
+
+def run(queries):
+    for query in queries if isinstance(queries, list) else [queries]:
+        query.awaitTermination(120)
+        assert query.exception() is None
+    return queries
+
+
+@pytest.fixture
+def rocksdb(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    yield
+    spark.conf.set(name, before)
+
+
+ROWS = [
+    {"transaction_id": "a"}, {"transaction_id": "a"}, {"transaction_id": "b", "amount": -1.0},
+    {"transaction_id": "c", "amount": -1.0, "location": None}, {"transaction_id": "d", "timestamp": "soon"},
+    {"transaction_id": "d", "timestamp": "soon"}, {"transaction_id": "e", "amount": None}, {"transaction_id": None},
+    {"transaction_id": "f", "amount": float("nan")}, {"transaction_id": "g", "timestamp": "2024-03-01 18:00:00"},
+]
+
+
+def test_streamed_layers_equal_the_batch(spark, tmp_path):
+    folder, out = str(tmp_path / "bronze"), str(tmp_path / "out")
+    for rows in (ROWS[:5], ROWS[5:]):
+        add_file(bronze(spark, rows), folder)
+    stream = cleansing.read_bronze_stream(spark, folder, files_per_batch=1)
+    run(list(cleansing.start_cleansing(stream, out, f"s-{tmp_path.name}").values()))
+    batch = routed(bronze(spark, ROWS))
+    for layer in (SILVER, QUARANTINE):
+        got = cleansing.read_streamed(spark, out, layer).select(*TRANSACTION_COLUMNS)
+        assert same(got, batch.where(F.col("layer") == layer).drop("layer")), layer
+    rejected = cleansing.read_streamed(spark, out, QUARANTINE)
+    assert rejected.where("_source_file is null or _ingested_at is null").count() == 0
+
+
+def test_a_stream_goes_on_where_it_stopped(spark, tmp_path):
+    folder, out = str(tmp_path / "bronze"), str(tmp_path / "out")
+    for rows in ([{"transaction_id": "a"}], [{"transaction_id": "a"}, {"transaction_id": "b"}], []):
+        add_file(bronze(spark, rows), folder)
+        stream = cleansing.read_bronze_stream(spark, folder)
+        run(list(cleansing.start_cleansing(stream, out, f"s-{tmp_path.name}").values()))
+    assert sorted(r.transaction_id for r in cleansing.read_streamed(spark, out, SILVER).collect()) == ["a", "b"]
+
+
+def test_rows_beyond_the_watermark_are_counted(spark, tmp_path):
+    folder, out = str(tmp_path / "bronze"), str(tmp_path / "out")
+    times = ["2024-03-05 12:00:00", "2024-03-05 13:00:00", "2024-03-04 14:00:00", "2024-03-01 12:00:00"]
+    for i, time in enumerate(times):
+        add_file(bronze(spark, [{"transaction_id": str(i), "timestamp": time}]), folder)
+    stream = cleansing.read_bronze_stream(spark, folder, files_per_batch=1)
+    queries = cleansing.start_cleansing(stream, out, f"s-{tmp_path.name}")
+    run(list(queries.values()))
+    assert sorted(r.transaction_id for r in cleansing.read_streamed(spark, out, SILVER).collect()) == ["0", "1", "2"]
+    assert cleansing.late_rows(queries[SILVER]) == 1
+
+
+def test_window_counts_follow_late_rows(spark, tmp_path):
+    folder, out = str(tmp_path / "silver"), str(tmp_path / "out")
+    parts = [
+        [{"timestamp": after(60 * m), "user_id": u} for m in (0, 5, 30) for u in "ab"],
+        [{"timestamp": after(60 * 90), "user_id": "a"}],
+        # Late, but not too late.
+        [{"timestamp": after(60 * 40), "user_id": "a"}, {"timestamp": after(60 * 35), "user_id": "c"}],
+    ]
+    late = [{"timestamp": after(-7200), "user_id": "a"}]
+    for part in [*parts, late]:
+        add_file(silver(spark, part), folder)
+        stream = spark.readStream.schema(SILVER_SCHEMA).parquet(folder)
+        run(velocity.start_window_counts(stream, out, f"s-{tmp_path.name}"))
+    want = velocity.window_counts(silver(spark, [r for p in parts for r in p]))
+    assert same(velocity.read_window_counts(spark, out).select(*want.columns), want)
+
+
+def test_streamed_velocity_equals_the_batch_feature(spark, tmp_path, rocksdb):
+    folder, out = str(tmp_path / "silver"), str(tmp_path / "out")
+    times = [0, 0, 0.5, 1, 3599, 3600, 3601, 3601.9, 5000, 7200, 7201, 9000]
+    rows = [{"transaction_id": f"{u}{i}", "user_id": u, "timestamp": after(t)} for u in "ab" for i, t in enumerate(times)]
+    rows += [{"transaction_id": None, "user_id": "a", "timestamp": after(4000)}]
+    # Out of order within the time that rows may be late.
+    order = sorted(range(len(rows)), key=lambda i: (rows[i]["timestamp"].timestamp() // 500 + (i % 3) * 0.4, i))
+    shuffled = [rows[i] for i in order]
+    later = {"transaction_id": "end", "user_id": "z", "timestamp": NOON + dt.timedelta(days=2)}
+    for part in (shuffled[:9], shuffled[9:], [later]):
+        add_file(silver(spark, part), folder)
+    stream = spark.readStream.schema(SILVER_SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
+    found = velocity.velocity_stream(stream, "2 hours")
+    writer = found.writeStream.outputMode("append").format("parquet").option("checkpointLocation", str(tmp_path / "state"))
+    run(writer.trigger(availableNow=True).start(out))
+    want = behaviour(silver(spark, rows), ["transaction_velocity"]).select("user_id", "transaction_id", "transaction_velocity")
+    got = spark.read.parquet(out).select(*want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

@@ -254,6 +254,15 @@ FROM uploaded WHERE NOT malformed AND n % 73 <> 0 AND floor(amount) > 0""",
         "feature_days_rerun": everything,
         "day_slice": _with(_TX)
         + f"""SELECT {_COLUMNS} FROM tx WHERE "timestamp" >= '2024-01-10' AND "timestamp" < '2024-01-12'""",
+        "stream_silver": _with(_CLEAN) + f"SELECT {_COLUMNS} FROM silver",
+        "stream_quarantine": _with(_CLEAN) + f"SELECT {_COLUMNS} FROM quarantine",
+        "stream_velocity": _with(_TX)
+        + """SELECT user_id, window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) AS txn_count
+FROM (SELECT user_id, unnest(generate_series(
+        time_bucket(INTERVAL 10 MINUTE, "timestamp") - INTERVAL 50 MINUTE,
+        time_bucket(INTERVAL 10 MINUTE, "timestamp"), INTERVAL 10 MINUTE)) AS window_start FROM tx)
+GROUP BY user_id, window_start""",
+        "stream_transaction_velocity": _feature("transaction_velocity"),
         "feature_min_max": _S + "SELECT * FROM bounds",
         "normalized_features": _S + "SELECT transaction_id, tv_norm, ds_norm, lr_norm FROM normed",
         "risk_score": _S + "SELECT transaction_id, risk_score FROM scored",

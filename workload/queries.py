@@ -22,6 +22,7 @@ from paywarden.schema import (
     LOCATION_ALERT,
     NEW_DEVICE_ALERT,
     RISK_ALERT,
+    SILVER_SCHEMA,
     TRANSACTION_COLUMNS,
     RuleConfig,
     SkewConfig,
@@ -29,6 +30,7 @@ from paywarden.schema import (
 from paywarden.sources.dated import read_days, write_days
 from paywarden.sources.tables import shared_folder, stage
 from paywarden.sources.uploads import read_csv
+from paywarden.streaming import silver as cleansing, velocity
 from workload.views import bronze, transactions, uploaded_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -289,6 +291,74 @@ def day_slice(spark, sf_dir):
     return read_days(spark, path, dt.date(2024, 1, 10), dt.date(2024, 1, 11)).select(*TRANSACTION_COLUMNS)
 
 
+# --- streams ---------------------------------------------------------------
+
+
+def _streamed_bronze(spark, sf_dir):
+    """The faulty rows as files that a stream reads in several batches."""
+    folder = _new_path(spark, "bronze-stream")
+    bronze(spark, sf_dir).repartition(4).write.parquet(folder)
+    return cleansing.read_bronze_stream(spark, folder, files_per_batch=2)
+
+
+def _finished(*running):
+    for query in running:
+        query.awaitTermination()
+        if query.exception():
+            raise query.exception()
+
+
+def _streamed_layer(spark, sf_dir, layer):
+    out = _new_path(spark, "streamed")
+    # The rows of a month come in any order.
+    config = cleansing.StreamConfig(copies_within="60 days")
+    _finished(*cleansing.start_cleansing(_streamed_bronze(spark, sf_dir), out, uuid.uuid4().hex, config).values())
+    return cleansing.read_streamed(spark, out, layer).select(*TRANSACTION_COLUMNS)
+
+
+@_query
+def stream_silver(spark, sf_dir):
+    """Silver of a stream that read everything there was."""
+    return _streamed_layer(spark, sf_dir, quality.SILVER)
+
+
+@_query
+def stream_quarantine(spark, sf_dir):
+    return _streamed_layer(spark, sf_dir, quality.QUARANTINE)
+
+
+@_query
+def stream_velocity(spark, sf_dir):
+    """Sliding window counts of a stream."""
+    folder, out = _new_path(spark, "silver-stream"), _new_path(spark, "windows")
+    transactions(spark, sf_dir).repartition(4).write.parquet(folder)
+    stream = spark.readStream.schema(SILVER_SCHEMA).option("maxFilesPerTrigger", 2).parquet(folder)
+    _finished(velocity.start_window_counts(stream, out, uuid.uuid4().hex, late_by="60 days"))
+    return velocity.read_window_counts(spark, out)
+
+
+@_query
+def stream_transaction_velocity(spark, sf_dir):
+    """The exact count of each transaction's last hour, from a stream."""
+    folder, out = _new_path(spark, "silver-stream"), _new_path(spark, "velocity")
+    rows = transactions(spark, sf_dir)
+    rows.repartition(4).write.parquet(folder)
+    # A row of a later time lets the last ones out.
+    end = rows.limit(1).withColumns({"user_id": F.lit("end"), "timestamp": F.lit("2025-01-01").cast("timestamp")})
+    end.coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(SILVER_SCHEMA).parquet(folder)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        writer = velocity.velocity_stream(stream, "60 days").writeStream.outputMode("append").format("parquet")
+        state = f"{shared_folder(spark)}/streams/{uuid.uuid4().hex}"
+        _finished(writer.option("checkpointLocation", state).trigger(availableNow=True).start(out))
+    finally:
+        spark.conf.set(provider, before)
+    return spark.read.parquet(out).select("transaction_id", "transaction_velocity")
+
+
 # --- scores ----------------------------------------------------------------
 
 
