@@ -23,12 +23,13 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from paywarden.functions.times import with_timestamp
 from paywarden.operators.hot_users import find_hot_users, hot_user_columns, join_first_seen, split_hot
 from paywarden.operators.user_windows import BEHAVIOUR_COLUMNS, user_window_columns
 from paywarden.schema import CONTEXT_COLUMNS, FEATURE_COLUMNS, FeatureConfig, SkewConfig
+from paywarden.sources.tables import stage
 
 
 def behaviour(
@@ -43,13 +44,13 @@ def behaviour(
     Users over ``skew.hot_rows`` rows go through ``hot_user_columns``, all
     others through ``user_window_columns``; both give the same values.
     ``hot_users`` is the table of the former (column user_id) when it is known;
-    by default one small job over the id column sees whether there are any, so
+    by default one small job over the id column stores them, so
     ``transactions`` should be a stored table.
     """
     transactions = with_timestamp(transactions)
     if hot_users is None:
-        hot_users = find_hot_users(transactions, skew)
-        if hot_users.isEmpty():
+        hot_users, found = stage(find_hot_users(transactions, skew), "hot-users", {"n": F.count(F.lit(1))})
+        if not found["n"]:
             return user_window_columns(transactions, wanted, config)
     hot, others = split_hot(transactions, hot_users)
     plain = user_window_columns(others, wanted, config)

@@ -4,12 +4,17 @@ One account (a test terminal, an aggregator, a default id) can hold a third of
 all rows, and its window partition cannot be split.  But every behavioural
 column except the first time on a device (an ordinary grouped minimum) is the
 same for all rows of a user at one instant, and is a running sum of changes
-over time.  So the changes are summed per user and instant, partly
-before the shuffle already, running totals are taken inside one-minute blocks,
-and the totals of earlier blocks are added on top.  The groups the windows see
-are the distinct instants of one minute, one user's list of minutes, and the
-distinct seconds a user spent at one location: all bounded by how much time
-the data spans, none by how many rows there are.
+over time.
+
+The rows are read once and summed up per user, instant, device and location,
+partly before the shuffle already.  All changes are made from that table.  They
+are summed per user and instant, running totals are taken inside one-minute
+blocks, and the totals of earlier blocks are added on top.  Stays at a location
+are found inside one-hour blocks, whose first and last second are carried to
+the blocks beside them.  The groups the windows see are the distinct instants of
+one minute, one user's list of minutes, and a user's list of hours at one
+location: all bounded by how much time the data spans, none by how many rows
+there are.
 """
 
 from __future__ import annotations
@@ -22,8 +27,10 @@ from paywarden.functions.joins import join_lookup
 from paywarden.functions.times import epoch_second
 from paywarden.operators.user_windows import BEHAVIOUR_COLUMNS
 from paywarden.schema import FeatureConfig, SkewConfig
+from paywarden.sources.tables import stage
 
 _BLOCK_SECONDS = 60
+_STAY_BLOCK_SECONDS = 3600
 
 # Changes that add up from midnight, and changes that add up for ever because
 # what enters a look-back frame is taken out again when the frame has passed.
@@ -75,16 +82,20 @@ def _after(second: Column, seconds: int) -> Column:
     return F.timestamp_seconds(second + seconds + 1)
 
 
-def _counted(transactions: DataFrame, config: FeatureConfig) -> DataFrame:
-    """Rows and amounts join at their instant and leave the frames later."""
-    instants = transactions.groupBy("user_id", "timestamp").agg(
+def _summed_up(transactions: DataFrame) -> DataFrame:
+    """Rows and amounts of each user, instant, device and location."""
+    return transactions.groupBy("user_id", "timestamp", "device_id", "location").agg(
         F.count("transaction_id").alias("_n"),
         F.count("amount").alias("_m"),
         F.sum("amount").alias("_s"),
     )
+
+
+def _counted(events: DataFrame, config: FeatureConfig) -> DataFrame:
+    """Rows and amounts join at their instant and leave the frames later."""
     n, second = F.col("_n"), epoch_second()
     return _changes(
-        instants,
+        events,
         _change(
             F.col("timestamp"),
             _rows=n, _amounts=F.col("_m"), _amount_sum=F.col("_s"), _velocity=n, _burst=n,
@@ -94,11 +105,11 @@ def _counted(transactions: DataFrame, config: FeatureConfig) -> DataFrame:
     )
 
 
-def _first_today(transactions: DataFrame, kinds: Collection[str]) -> DataFrame:
+def _first_today(events: DataFrame, kinds: Collection[str]) -> DataFrame:
     """Each value of the columns ``kinds`` counts from when it is first seen."""
     tagged = [F.struct(F.lit(c).alias("kind"), F.col(c).alias("value")) for c in kinds]
     firsts = (
-        transactions.select("user_id", "timestamp", F.inline(F.array(*tagged)))
+        events.select("user_id", "timestamp", F.inline(F.array(*tagged)))
         .where(F.col("value").isNotNull())
         .groupBy("user_id", F.to_date("timestamp"), "kind", "value")
         .agg(F.min("timestamp").alias("timestamp"))
@@ -113,50 +124,64 @@ def _first_today(transactions: DataFrame, kinds: Collection[str]) -> DataFrame:
     )
 
 
-def _stays(transactions: DataFrame, seconds: int) -> DataFrame:
-    """+1 when a stay at a location begins, -1 when it has left the frame."""
-    in_place = W.partitionBy("user_id", "location").orderBy("_second")
-    visits = (
-        transactions.where(F.col("location").isNotNull())
+def _stays(events: DataFrame, seconds: int) -> DataFrame:
+    """+1 when a stay at a location begins, -1 when it has left the frame.
+
+    A stay is unbroken while the location is seen again within ``seconds``.
+    """
+    hours = (
+        events.where(F.col("location").isNotNull() & F.col("timestamp").isNotNull())
         .select("user_id", "location", epoch_second().alias("_second"))
-        .distinct()
-        .withColumns(
-            {"_before": F.lag("_second").over(in_place), "_next": F.lead("_second").over(in_place)}
-        )
+        .groupBy("user_id", "location", F.floor(F.col("_second") / _STAY_BLOCK_SECONDS).alias("_hour"))
+        .agg(F.array_sort(F.collect_set("_second")).alias("_seconds"))
     )
-    now, before, following = F.col("_second"), F.col("_before"), F.col("_next")
-    begins = before.isNull() | (now - before > seconds)
-    ends = following.isNull() | (following - now > seconds)
-    return _changes(
-        visits,
-        F.when(begins, _change(F.timestamp_seconds(now), _places=F.lit(1))),
-        F.when(ends, _change(_after(now, seconds), _places=F.lit(-1))),
+    by_hour = W.partitionBy("user_id", "location").orderBy("_hour")
+    edges = hours.withColumns(
+        {
+            "_before": F.lag(F.element_at("_seconds", -1)).over(by_hour),
+            "_next": F.lead(F.element_at("_seconds", 1)).over(by_hour),
+        }
     )
 
+    def begins(second: Column, i: Column) -> Column:
+        before = F.when(i == 0, F.col("_before")).otherwise(F.get("_seconds", i - 1))
+        return F.coalesce(second - before > seconds, F.lit(True))
+
+    def ends(second: Column, i: Column) -> Column:
+        following = F.coalesce(F.get("_seconds", i + 1), F.col("_next"))
+        return F.coalesce(following - second > seconds, F.lit(True))
+
+    come = F.transform(F.filter("_seconds", begins), lambda s: _change(F.timestamp_seconds(s), _places=F.lit(1)))
+    gone = F.transform(F.filter("_seconds", ends), lambda s: _change(_after(s, seconds), _places=F.lit(-1)))
+    return edges.select("user_id", F.inline(F.concat(come, gone)))
+
 
 def _instant_values(
-    transactions: DataFrame, wanted: Collection[str], config: FeatureConfig
+    events: DataFrame, wanted: Collection[str], config: FeatureConfig
 ) -> DataFrame:
     """One row per user and instant with the wanted columns."""
-    changes = _counted(transactions, config)
+    changes = _counted(events, config)
     kinds = [column for feature, column in _FIRST_SEEN.items() if feature in wanted]
     if kinds:
-        changes = changes.unionByName(_first_today(transactions, kinds))
+        changes = changes.unionByName(_first_today(events, kinds))
     if "loc_count_1hr" in wanted:
-        changes = changes.unionByName(_stays(transactions, config.location_seconds))
+        changes = changes.unionByName(_stays(events, config.location_seconds))
 
     totals = [F.sum(c).alias(c) for c in _PER_DAY + _SLIDING]
     block = ["user_id", "_day", "_block"]
+    # Dealt out by minute once; sums per instant, running sums and sums per
+    # block all find their rows together.
     instants = (
-        changes.groupBy("user_id", "timestamp")
-        .agg(*totals)
-        .withColumns(
+        changes.withColumns(
             {
                 "_second": epoch_second(),
                 "_day": F.to_date("timestamp"),
                 "_block": F.floor(epoch_second() / _BLOCK_SECONDS),
             }
         )
+        .repartition(*block)
+        .groupBy(*block, "timestamp", "_second")
+        .agg(*totals)
     )
 
     in_block = W.partitionBy(*block)
@@ -171,6 +196,7 @@ def _instant_values(
     carried = (
         instants.groupBy(*block)
         .agg(*totals)
+        .repartition("user_id")
         .select(
             *block,
             *[F.sum(c).over(same_day).alias(f"{c}_before") for c in _PER_DAY],
@@ -219,15 +245,17 @@ def hot_user_columns(
 ) -> DataFrame:
     """Same result as ``user_window_columns`` with no group bound to a user.
 
-    The joins put the per-instant values back on the rows.  Their row side is
-    spread by instant and by device, and adaptive execution splits whatever is
-    still skewed, since the other side has one row per key.
+    The rows are read twice: to sum them up, which is stored, and to put the
+    per-instant values back on them.  For that the rows are spread by instant
+    and by device, and adaptive execution splits whatever is still skewed, since
+    the other side has one row per key.
     """
     wanted = [c for c in BEHAVIOUR_COLUMNS if c in wanted]
+    events, _ = stage(_summed_up(transactions), "instants")
     result = transactions
     if set(wanted) - {"first_seen_device_ts"}:
-        values = _instant_values(transactions, wanted, config)
+        values = _instant_values(events, wanted, config)
         result = join_lookup(result, values, ["user_id", "timestamp"])
     if "first_seen_device_ts" in wanted:
-        result = join_first_seen(result, transactions)
+        result = join_first_seen(result, events)
     return result.select(*transactions.columns, *wanted)
