@@ -1,11 +1,17 @@
 """Documents whose sets of word n-grams have a high Jaccard similarity.
 
-Texts with equal sets form one class first; classes are what is joined.  Every
-n-gram has a place in one order of all n-grams, rarest first.  Two sets that
-are similar enough share an n-gram among the first few of each (their
-prefixes).  To keep the counting small, the order is rare-first inside a fixed
-part of the hash space that is larger than a prefix; the n-grams of that part
-come before all others, which follow by hash.
+Texts with equal sets form one class first, told by 128 bits; classes are what
+is joined.  Every n-gram has a place in one order of all n-grams, rarest first.
+Two sets that are similar enough share an n-gram among the first few of each
+(their prefixes), so an n-gram that only one class has finds no partner: it
+fills a place of the prefix and is not sent on.
+
+Counting all n-grams would shuffle more than the texts.  The order is rare-first
+inside a fixed part of the hash space (the front) that is wider than a prefix;
+the n-grams of the front come before all others.  Only the front's n-grams are
+counted, and all of small sets, whose front may be too narrow; tasks sort and
+count what they have before it is shuffled, four bytes an n-gram.  Counts come
+back as bitmaps, one for each step of frequency.
 
 Candidates share a prefix n-gram and pass a length filter, a positional filter
 (what can still overlap after the shared place) and a suffix filter (the sets'
@@ -13,9 +19,10 @@ sizes over parts of the hash space bound how far they differ).  Each pair is
 verified once, on whole sets.
 
 Pairs inside a group are not all made.  In each bucket the class with the
-shared n-gram foremost is compared with all others; links make components.
-Then only classes outside a bucket's main component are compared with the
-bucket's classes of other components, which loses no link that could matter.
+shared n-gram foremost is compared with all others; links make components.  Of
+each other component the foremost class then takes its turn, and so on while
+there are many components.  In the end only classes of different components are
+compared, which loses no link that could matter.
 """
 
 from __future__ import annotations
@@ -25,122 +32,214 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from paywarden.llm import words as w
 from paywarden.llm.components import components
-from paywarden.llm.tables import key_filter, stage
+from paywarden.llm.tables import KeyFilter, key_filter
+from paywarden.sources.tables import stage
 
 _PARTS = 128
-#: N-grams that come last, and the counters of the sketch that finds them.
-_FREQUENT = 8192
-_COUNTERS = 16384
-
-
-def gram_sets(batch: pa.RecordBatch, size: int) -> list[np.ndarray]:
-    """The sorted distinct n-gram names of each text; A-Z count as a-z."""
+#: Sets up to this size are counted whole.
+_SMALL = 64
+#: N-grams of so many classes and more come later in the order.
+_LEVELS = [2, 8, 64, 512]
+#: N-grams a task sorts at once, and n-grams of a segment that is counted in one piece.
+_FLUSH = 1 << 22
+_SEGMENT = 1 << 21
+#: Rounds of comparing foremost classes go on while pairs would exceed rows by so much.
+_PAIRS_A_ROW = 4
+_MOST_ROUNDS = 6
+
+
+def gram_sets(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct n-gram names of all texts, and where each text's begin; A-Z count as a-z."""
     found = w.words_of(batch, "text", lower=True)
     names = found.names()
     grams, at = found.windows(names, size)
-    edges = np.searchsorted(at, found.first)
-    out = []
-    for i, n in enumerate(found.counts().tolist()):
-        if n >= size:
-            out.append(np.unique(grams[edges[i] : edges[i + 1]]))
-        elif n:
-            own = np.uint64(n)
-            for name in names[found.first[i] : found.first[i + 1]]:
-                own = w.combine(np.array([own], np.uint64), np.array([name], np.uint64))[0]
-            out.append(np.array([own], np.uint64))
-        else:
-            out.append(np.zeros(0, np.uint64))
-    return out
-
-
-def _prefix(n: int, percent: int) -> int:
-    return n - (percent * n + 99) // 100 + 1
+    text = found.text_of()[at] if len(at) else at
+    n = found.counts()
+    short = np.flatnonzero((n > 0) & (n < size))
+    if len(short):
+        # A text of fewer words is one n-gram.
+        own = n[short].astype(np.uint64)
+        for k in range(size - 1):
+            more = n[short] > k
+            own[more] = w.combine(own[more], names[found.first[:-1][short][more] + k])
+        grams, text = np.concatenate([grams, own]), np.concatenate([text, short])
+    order = np.lexsort((grams, text))
+    grams, text = grams[order], text[order]
+    new = np.ones(len(grams), bool)
+    new[1:] = (grams[1:] != grams[:-1]) | (text[1:] != text[:-1])
+    grams, text = grams[new], text[new]
+    return grams, np.searchsorted(text, np.arange(len(n) + 1))
+
+
+def _node(grams: np.ndarray) -> bytes:
+    return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
+
+
+def _nodes(grams: np.ndarray, first: np.ndarray) -> list[bytes | None]:
+    return [_node(grams[a:b]) if b > a else None for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
 
 
-def _lists(arrays: list[np.ndarray]) -> pa.Array:
-    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
-    flat = np.concatenate([*arrays, np.zeros(0, np.uint64)])
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
+def _row_keys(batch: pa.RecordBatch, nodes: list[bytes | None]) -> np.ndarray:
+    """A number for each row that tells it by id and set."""
+    own = np.array([int.from_bytes(x[:8], "little") if x else 0 for x in nodes], np.uint64)
+    return w.combine(own, np.asarray(batch.column("spread"), np.int64).view(np.uint64)).view(np.int64)
 
 
-def _each_rank(size: int):
+def _prefix(n: np.ndarray, percent: int) -> np.ndarray:
+    return n - (percent * n + 99) // 100 + 1
+
+
+def _describe(size: int):
+    """Set size, class key, row key and counts over parts of each text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in w.chunks(batches, "text"):
-            ranks = np.concatenate([*gram_sets(batch, size), np.zeros(0, np.uint64)]) >> np.uint64(1)
-            yield pa.RecordBatch.from_arrays([pa.array(ranks.view(np.int64))], ["gram"])
+            grams, first = gram_sets(batch, size)
+            nodes, n = _nodes(grams, first), np.diff(first)
+            place = np.repeat(np.arange(len(n)), n) * _PARTS + (w.mix(grams) % np.uint64(_PARTS)).astype(np.int64)
+            parts = np.minimum(np.bincount(place, minlength=len(n) * _PARTS), 255).astype(np.uint8).reshape(-1, _PARTS)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id"),
+                    pa.array(n, pa.int64()),
+                    pa.array(nodes, pa.binary()),
+                    pa.array(_row_keys(batch, nodes)),
+                    pa.array([x.tobytes() for x in parts], pa.binary()),
+                ],
+                ["id", "n", "node", "row", "parts"],
+            )
 
     return run
 
 
-def frequent_grams(docs: DataFrame, size: int) -> np.ndarray:
-    """Frequent n-grams by rank, at most _FREQUENT, the most frequent last."""
-    top = F.expr(f"approx_top_k(gram, {_FREQUENT}, {_COUNTERS})").alias("top")
-    found, n = docs.mapInArrow(_each_rank(size), "gram long").agg(top, F.count("*").alias("n")).first()
-    rows = sorted((x["count"], x["item"]) for x in found or [] if x["count"] > 1 and x["count"] * _COUNTERS >= n)
-    return np.array([item for _, item in rows], np.uint64)
+def _one_each(batch: pa.RecordBatch, size: int, chosen: KeyFilter) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """The sets of the rows that stand for their class; copies in one batch once."""
+    grams, first = gram_sets(batch, size)
+    nodes = _nodes(grams, first)
+    take = chosen.has(_row_keys(batch, nodes))
+    seen, kept = set(), []
+    for i in np.flatnonzero(take).tolist():
+        if nodes[i] is not None and nodes[i] not in seen:
+            seen.add(nodes[i])
+            kept.append(i)
+    wanted = np.zeros(len(nodes), bool)
+    wanted[kept] = True
+    n = np.diff(first)
+    grams = grams[np.repeat(wanted, n)]
+    return grams, np.concatenate([[0], np.cumsum(n[kept])]).astype(np.int64), [nodes[i] for i in kept]
+
+
+class _Front:
+    """Which n-grams belong to the front: those of a fixed share of the hash space."""
+
+    def __init__(self, percent: int):
+        self.below = np.uint64(min(0.9, 1.6 * (100 - percent) / 100) * 2.0**16)
+        self.share = float(self.below) / 2.0**16
+
+    def has(self, grams: np.ndarray) -> np.ndarray:
+        return grams & np.uint64(0xFFFF) < self.below
+
+
+def _emit_counts(size: int, chosen: KeyFilter, front: _Front, bits: int):
+    """What a task has of each segment: n-grams it met once, and others with their counts."""
+
+    def blobs(pool: list[np.ndarray]) -> pa.RecordBatch:
+        # Segment and 32 bits of a name; the lowest bits are cut off.
+        short = np.concatenate(pool) >> np.uint64(32 - bits)
+        short, count = np.unique(short, return_counts=True)
+        segment = (short >> np.uint64(32)).astype(np.int64)
+        low = (short & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        found, begin = np.unique(segment, return_index=True)
+        end = np.append(begin[1:], len(segment))
+        once, more, counts = [], [], []
+        for a, b in zip(begin.tolist(), end.tolist()):
+            own, n = low[a:b], count[a:b]
+            once.append(own[n == 1].tobytes())
+            more.append(own[n > 1].tobytes())
+            counts.append(n[n > 1].astype(np.uint32).tobytes())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(found), *(pa.array(x, pa.binary()) for x in (once, more, counts))], ["segment", "once", "more", "counts"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pool, held = [], 0
+        for batch in w.chunks(batches, "text"):
+            grams, first, _ = _one_each(batch, size, chosen)
+            n = np.diff(first)
+            grams = grams[front.has(grams) | np.repeat(n <= _SMALL, n)]
+            pool.append(grams)
+            held += len(grams)
+            if held >= _FLUSH:
+                yield blobs(pool)
+                pool, held = [], 0
+        if held:
+            yield blobs(pool)
+
+    return run
 
 
-class _Order:
-    """Ranks of n-grams: by hash without its lowest bit, kept positive for Spark; frequent ones last."""
+def _shared_of_segment(bits: int):
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        blobs = {c: b"".join(table.column(c).to_pylist()) for c in ("once", "more", "counts")}
+        once, more, counts = (np.frombuffer(blobs[c], np.uint32) for c in ("once", "more", "counts"))
+        low, back = np.unique(np.concatenate([once, more]), return_inverse=True)
+        total = np.bincount(back, weights=np.concatenate([np.ones(len(once)), counts]), minlength=len(low)).astype(np.int64)
+        shared = total > 1
+        segment = np.uint64(key[0].as_py()) << np.uint64(32)
+        grams = (low[shared].astype(np.uint64) | segment) << np.uint64(32 - bits)
+        return pa.table({"gram": grams.view(np.int64), "n": total[shared]})
 
-    def __init__(self, frequent: np.ndarray):
-        by_hash = np.argsort(frequent)
-        self.known = frequent[by_hash]
-        self.last = np.uint64((1 << 63) - 1 - len(frequent)) + by_hash.astype(np.uint64)
+    return run
 
-    def ranks(self, grams: np.ndarray) -> np.ndarray:
-        ranks = grams >> np.uint64(1)
-        if len(self.known):
-            at = np.minimum(np.searchsorted(self.known, ranks), len(self.known) - 1)
-            ranks = np.where(self.known[at] == ranks, self.last[at], ranks)
-        return np.sort(ranks)
 
+def _emit_prefixes(size: int, percent: int, chosen: KeyFilter, front: _Front, levels: list[KeyFilter]):
+    """(gram, node, n, at) for the n-grams in a class's prefix that others may have too."""
 
-def _describe(size: int, percent: int, order):
-    """Set size, class key, counts over parts and the n-grams a prefix may hold."""
-    front = np.uint64(min(0.9, 1.6 * (100 - percent) / 100) * 2.0**63)
+    def level(grams: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(grams), np.int64)
+        at = np.arange(len(grams))
+        for step in levels:
+            at = at[step.has(grams[at].view(np.int64))]
+            out[at] += 1
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in w.chunks(batches, "text"):
-            n, keys, parts, pools, fronts = [], [], [], [], []
-            for grams in gram_sets(batch, size):
-                n.append(len(grams))
-                digest = hashlib.blake2b(grams.tobytes(), digest_size=8).digest()
-                keys.append(int.from_bytes(digest, "little", signed=True) if len(grams) else None)
-                places = (w.mix(grams) % np.uint64(_PARTS)).astype(np.int64)
-                parts.append(np.minimum(np.bincount(places, minlength=_PARTS), 255).astype(np.uint8).tobytes())
-                ranks = order.value.ranks(grams)
-                inside = int(np.searchsorted(ranks, front))
-                fronts.append(inside)
-                pools.append(ranks[: max(inside, _prefix(len(grams), percent))])
+            grams, first, nodes = _one_each(batch, size, chosen)
+            n = np.diff(first)
+            reach = _prefix(n, percent)
+            owner = np.repeat(np.arange(len(n)), n)
+            inside = front.has(grams)
+            # Where the front is narrower than the prefix, the others follow.
+            narrow = np.bincount(owner[inside], minlength=len(n)) < reach
+            pick = inside | narrow[owner]
+            grams, owner, inside = grams[pick], owner[pick], inside[pick]
+            step = level(grams)
+            order = np.lexsort((grams, step, ~inside, owner))
+            grams, owner, inside, step = grams[order], owner[order], inside[order], step[order]
+            begin = np.searchsorted(owner, np.arange(len(n)))
+            at = np.arange(len(owner)) - begin[owner] if len(owner) else owner
+            keep = (at < reach[owner]) & ~(inside & (step == 0))
+            grams, owner, at = grams[keep], owner[keep], at[keep]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(parts, pa.binary()), pa.array(fronts, pa.int64()), _lists(pools)],
-                ["id", "n", "node", "parts", "front", "pool"],
+                [pa.array(grams.view(np.int64)), pa.array(nodes, pa.binary()).take(pa.array(owner)), pa.array(at.astype(np.int64))],
+                ["gram", "node", "at"],
             )
 
     return run
 
 
-def _sets(size: int, wanted):
+def _sets(size: int, wanted: KeyFilter):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in w.chunks(batches, "text"):
-            keys, blobs = [], []
-            for grams in gram_sets(batch, size):
-                if len(grams):
-                    blob = grams.tobytes()
-                    keys.append(int.from_bytes(hashlib.blake2b(blob, digest_size=8).digest(), "little", signed=True))
-                    blobs.append(blob)
-            pick = np.flatnonzero(wanted.has(np.array(keys, np.int64))) if keys else []
-            if len(pick):
-                blobs = [blobs[i] for i in pick]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([keys[i] for i in pick], pa.int64()), pa.array(blobs, pa.binary())], ["node", "grams"]
-                )
+            grams, first, nodes = _one_each(batch, size, wanted)
+            blobs = [grams[a:b].tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(blobs, pa.binary())], ["node", "grams"])
 
     return run
 
@@ -179,29 +278,39 @@ def _verify(percent: int):
 class _Join:
     def __init__(self, docs: DataFrame, size: int, percent: int):
         self.docs, self.size, self.percent = docs, size, percent
-        order = docs.sparkSession.sparkContext.broadcast(_Order(frequent_grams(docs, size)))
-        described = docs.mapInArrow(
-            _describe(size, percent, order),
-            f"id {docs.schema['id'].dataType.simpleString()}, n long, node long, parts binary, front long, pool array<long>",
+        kind = docs.schema["id"].dataType.simpleString()
+        described = docs.mapInArrow(_describe(size), f"id {kind}, n long, node binary, row long, parts binary")
+        self.rows, _ = stage(described, "sets")
+        one = self.rows.where("node is not null").groupBy("node")
+        # Copies meet in each task; of a class one row stands for all.
+        classes = one.agg(F.first("n").alias("n"), F.min("row").alias("row"), F.first("parts").alias("parts"))
+        self.classes, _ = stage(classes.withColumn("own", F.monotonically_increasing_id()), "classes")
+        self.n_classes, self.n_grams = self.classes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+
+    def shared_grams(self, chosen: KeyFilter, front: _Front) -> list[KeyFilter]:
+        """Filters of the n-grams that two, some, many classes have."""
+        pool = front.share * self.n_grams
+        bits = min(32, max(0, int(pool / _SEGMENT).bit_length()))
+        counted = self.docs.mapInArrow(
+            _emit_counts(self.size, chosen, front, bits), "segment long, once binary, more binary, counts binary"
         )
-        self.rows = stage(described, "sets")
-        one = self.rows.where("node is not null").select("node", F.struct("n", "front", "parts", "pool").alias("s"))
-        # Copies meet before the shuffle: one row for each class and task.
-        self.classes = stage(one.groupBy("node").agg(F.first("s").alias("s")).select("node", "s.*"), "classes")
+        shared = counted.groupBy("segment").applyInArrow(_shared_of_segment(bits), "gram long, n long")
+        shared, _ = stage(shared, "shared")
+        sizes = shared.agg(*[F.count_if(F.col("n") >= n).alias(f"n{n}") for n in _LEVELS]).first()
+        # Names are cut to what was counted, and filters read no further.
+        return [key_filter(shared.where(F.col("n") >= n), "gram", sizes[f"n{n}"]) for n in _LEVELS]
 
     def prefixes(self) -> DataFrame:
-        """(gram, node, n, at): the n-grams in the classes' prefixes that others have too."""
-        pool = self.classes.select("node", "n", "front", F.posexplode("pool").alias("place", "gram"))
-        common = pool.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
-        shared = pool.join(common, "gram")
-        in_front = F.col("place") < F.col("front")
-        order = Window.partitionBy("node", in_front).orderBy("df", "gram")
-        whole = Window.partitionBy("node", in_front)
-        ranked = shared.withColumns({"k": F.row_number().over(order), "m": F.count("*").over(whole)})
-        # N-grams of this class alone come first in front; behind it places are by hash.
-        at = F.when(in_front, F.col("front") - F.col("m") + F.col("k") - 1).otherwise(F.col("place"))
-        reach = F.expr(f"n - (({self.percent} * n + 99) div 100) + 1")
-        return ranked.withColumn("at", at).where(F.col("at") < reach).select("gram", "node", "n", "at")
+        """(gram, node, n, at): the n-grams in the classes' prefixes that others may have too."""
+        chosen = key_filter(self.classes, "row", self.n_classes)
+        front = _Front(self.percent)
+        levels = self.shared_grams(chosen, front)
+        emitted = self.docs.mapInArrow(
+            _emit_prefixes(self.size, self.percent, chosen, front, levels), "gram long, node binary, at long"
+        )
+        own = self.classes.select("node", F.col("own").alias("class"), "n")
+        emitted = emitted.join(own, "node").select("gram", F.col("class").alias("node"), "n", "at")
+        return emitted
 
     def _close(self, n1: str, at1: str, n2: str, at2: str) -> Column:
         """The length and the positional filter."""
@@ -214,9 +323,9 @@ class _Join:
 
     def near(self, pairs: DataFrame) -> DataFrame:
         """Of pairs (a, b) those that the suffix filter leaves."""
-        parts = self.classes.select("node", "n", "parts")
+        parts = self.classes.select("own", "n", "parts")
         for c in "ab":
-            own = parts.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("parts").alias(f"parts_{c}"))
+            own = parts.select(F.col("own").alias(c), F.col("n").alias(f"n_{c}"), F.col("parts").alias(f"parts_{c}"))
             pairs = pairs.join(own, c)
         p = self.percent
         # |x| + |y| - 2 * least overlap; a part holding over 254 n-grams only weakens the filter.
@@ -225,41 +334,63 @@ class _Join:
 
     def links(self, pairs: DataFrame, name: str) -> DataFrame:
         """Those of the pairs (a, b) that are linked, each verified once."""
-        pairs = stage(self.near(pairs.distinct()), f"{name}-pairs")
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        nodes = stage(nodes, f"{name}-nodes")
-        wanted = key_filter(nodes, "node", nodes.count())
-        sets = self.docs.mapInArrow(_sets(self.size, wanted), "node long, grams binary")
-        sets = sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("grams").alias("grams"))
-        sets = stage(sets, f"{name}-grams")
+        pairs, _ = stage(self.near(pairs.distinct()), f"{name}-pairs")
+        nodes = pairs.select(F.col("a").alias("own")).union(pairs.select(F.col("b").alias("own"))).distinct()
+        nodes, found = stage(self.classes.join(nodes, "own").select("own", "node", "row"), f"{name}-nodes", {"n": F.count("*")})
+        wanted = key_filter(nodes, "row", found["n"])
+        sets = self.docs.mapInArrow(_sets(self.size, wanted), "node binary, grams binary")
+        sets = sets.join(nodes.select("own", "node"), "node").groupBy("own").agg(F.first("grams").alias("grams"))
+        sets, _ = stage(sets, f"{name}-grams")
         for c in "ab":
-            pairs = pairs.join(sets.select(F.col("node").alias(c), F.col("grams").alias(f"grams_{c}")), c)
-        return stage(pairs.mapInArrow(_verify(self.percent), "a long, b long"), f"{name}-links")
+            pairs = pairs.join(sets.select(F.col("own").alias(c), F.col("grams").alias(f"grams_{c}")), c)
+        return stage(pairs.mapInArrow(_verify(self.percent), "a long, b long"), f"{name}-links")[0]
 
     def labels(self) -> DataFrame:
         """(node, label): the component of each linked class."""
-        rows = stage(self.prefixes(), "prefixes")
+        rows = self.prefixes()
+        sizes = rows.groupBy("gram").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
+        # Copies of a row that both stand for a class come twice.
+        rows = rows.distinct().join(sizes.select("gram"), "gram")
+        rows, seen = stage(rows, "prefixes", {"n": F.count("*")})
         foremost = F.min(F.struct("at", "node", "n"))
-        hubs = rows.groupBy("gram").agg(foremost.alias("hub"), F.count("*").alias("m")).where("m > 1")
-        hubs = hubs.select("gram", F.col("hub.node").alias("a"), F.col("hub.n").alias("n_a"), F.col("hub.at").alias("at_a"))
-        stars = rows.join(hubs, "gram").where("a <> node").where(self._close("n", "at", "n_a", "at_a"))
-        links = self.links(stars.select("a", F.col("node").alias("b")), "stars")
+        hubs = rows.groupBy("gram").agg(foremost.alias("hub"))
+        links = self.links(self._stars(rows, hubs, F.lit(True)), "stars")
         found = components(links)
-        rest = self.links(self.apart(rows, found), "rest")
+        for _ in range(_MOST_ROUNDS):
+            apart, pairs = self.open_rows(rows, found)
+            if pairs <= _PAIRS_A_ROW * seen["n"]:
+                break
+            # The foremost class outside a bucket's main component meets all of other components.
+            hubs = apart.where("label <> main").groupBy("gram").agg(F.min(F.struct("at", "node", "n", "label")).alias("hub"))
+            more = self.links(self._stars(apart, hubs, F.col("label") != F.col("hub.label")), "stars")
+            if more.isEmpty():
+                break
+            links, _ = stage(links.union(more), "links")
+            found = components(links)
+        rest = self.links(self.apart(self.open_rows(rows, found)[0]), "rest")
         if rest.isEmpty():
             return found
         return components(links.union(rest))
 
-    def apart(self, rows: DataFrame, found: DataFrame) -> DataFrame:
-        """Pairs of one bucket that are not of one component yet."""
+    def _stars(self, rows: DataFrame, hubs: DataFrame, wanted: Column) -> DataFrame:
+        """Pairs of each bucket's hub and the other rows."""
+        stars = rows.join(hubs, "gram").where(wanted & (F.col("hub.node") != F.col("node")))
+        stars = stars.where(self._close("n", "at", "hub.n", "hub.at"))
+        return stars.select(F.least("hub.node", "node").alias("a"), F.greatest("hub.node", "node").alias("b"))
+
+    def open_rows(self, rows: DataFrame, found: DataFrame) -> tuple[DataFrame, int]:
+        """Rows of buckets with several components, and how many pairs they would make."""
         rows = rows.join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        # One row for each bucket and component; buckets with one component are done.
         sizes = rows.groupBy("gram", "label").agg(F.count("*").alias("m"))
         main = sizes.groupBy("gram").agg(
-            F.max(F.struct("m", "label")).alias("top"), F.count("*").alias("k")
+            F.max(F.struct("m", "label")).alias("top"), F.sum("m").alias("all"), F.count("*").alias("k")
         ).where("k > 1")
-        open_rows = rows.join(main.select("gram", F.col("top.label").alias("main")), "gram")
-        open_rows = stage(open_rows, "apart")
+        main = main.select("gram", F.col("top.label").alias("main"), (F.col("all") * (F.col("all") - F.col("top.m"))).alias("pairs"))
+        apart, _ = stage(rows.join(main.drop("pairs"), "gram"), "apart")
+        return apart, main.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0]
+
+    def apart(self, open_rows: DataFrame) -> DataFrame:
+        """Pairs of one bucket that are not of one component yet."""
         others = open_rows.where("label <> main").select(
             "gram", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("at").alias("at_b"), F.col("label").alias("label_b")
         )
@@ -296,11 +427,14 @@ def jaccard_components(
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     if not isinstance(docs.schema["id"].dataType, StructType):
         docs = docs.withColumn("id", F.col("id").cast("long"))
+    docs = docs.withColumn("spread", F.xxhash64("id"))
     join = _Join(docs, size, percent)
     labels = join.labels()
     own = join.rows.select("id", "n", "node")
-    least = own.groupBy("node").agg(F.min("id").alias("least")).where("node is not null")
-    least = least.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    least = own.where("node is not null").groupBy("node").agg(F.min("id").alias("least"))
+    classes = join.classes.select("node", F.col("own").alias("class"))
+    linked = classes.join(labels.withColumnRenamed("node", "class"), "class", "left")
+    least = least.join(linked.withColumn("label", F.coalesce("label", "class")), "node")
     ids = least.groupBy("label").agg(F.min("least").alias("component_id"))
     by_node = least.select("node", "label").join(ids, "label").select("node", "component_id")
     out = own.join(by_node, "node", "left")

@@ -10,14 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 CHUNK_BYTES = 1 << 19
-_BASE = 0x9E3779B97F4A7C15 | 1
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 
@@ -35,24 +34,6 @@ def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * np.uint64(0xD6E8FEB86659FD93) + (b ^ np.uint64(0xA0761D6478BD642F)))
 
 
-@lru_cache(maxsize=4)
-def _byte_values(seed: int) -> np.ndarray:
-    return mix(np.arange(256, dtype=np.uint64) + np.uint64((seed + 1) * 1_000_003))
-
-
-@lru_cache(maxsize=1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = pow(_BASE, -1, 1 << 64)
-    steps = np.full(n + 1, _BASE, np.uint64)
-    back = np.full(n + 1, inverse, np.uint64)
-    steps[0] = back[0] = 1
-    return np.cumprod(steps, dtype=np.uint64), np.cumprod(back, dtype=np.uint64)
-
-
-def _powers_for(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(max(2 * CHUNK_BYTES, 1 << int(max(1, n)).bit_length()))
-
-
 @dataclass
 class Words:
     """The words of a run of texts: text i has words first[i]:first[i + 1]."""
@@ -69,14 +50,21 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts())
 
     def names(self, seed: int = 0) -> np.ndarray:
-        """A 64-bit name for each word."""
-        if not len(self.start):
+        """A 64-bit name for each word; each distinct word is hashed once."""
+        n = len(self.start)
+        if not n:
             return np.zeros(0, np.uint64)
-        forward, back = _powers_for(len(self.data))
-        sums = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(_byte_values(seed)[self.data] * forward[: len(self.data)], out=sums[1:])
-        raw = (sums[self.end] - sums[self.start]) * back[self.start]
-        return mix(raw + (self.end - self.start).astype(np.uint64))
+        # Words follow one another once the space between them is gone.
+        ends = np.zeros(n + 1, np.int64)
+        np.cumsum(self.end - self.start, out=ends[1:])
+        packed = self.data[~_IS_SPACE[self.data]]
+        parts = [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(packed))]
+        coded = pa.Array.from_buffers(pa.large_binary(), n, parts).dictionary_encode()
+        _, ends, data = coded.dictionary.buffers()
+        ends = np.frombuffer(ends, np.int64)[: len(coded.dictionary) + 1].tolist()
+        data, digest = memoryview(data), xxhash.xxh3_64_intdigest
+        named = np.fromiter((digest(data[a:b], seed) for a, b in zip(ends, ends[1:])), np.uint64, len(ends) - 1)
+        return named[np.asarray(coded.indices)]
 
     def windows(self, names: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Names of all runs of ``size`` words, with the index of their first word."""
@@ -86,8 +74,8 @@ class Words:
         at = np.flatnonzero(self.whole(size))
         out = np.full(len(at), size, np.uint64)
         for k in range(size):
-            out = out * np.uint64(_BASE) + names[at + k]
-        return mix(out), at
+            out = combine(out, names[at + k])
+        return out, at
 
     def whole(self, size: int) -> np.ndarray:
         """For each place up to the last window of all: does it stay in its text?"""

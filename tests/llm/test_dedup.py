@@ -139,3 +139,25 @@ def test_frequent_texts_are_settled_alike(spark, monkeypatch):
     split = plain(exact_dedup(frame(spark, rows)))
     monkeypatch.setattr(module, "HOT_SHARE", 1)
     assert plain(exact_dedup(frame(spark, rows))) == split
+
+
+def test_words_that_a_polynomial_cannot_tell_apart(spark):
+    for n in (1024, 4096):
+        word = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+        other = word.translate(str.maketrans("ab", "ba"))
+        rows = [(1, " ".join([word] * 13)), (2, " ".join([other] * 13)), (3, other)]
+        assert plain(remove_repeats(frame(spark, rows))) == repeats(rows)
+        assert plain(jaccard_components(frame(spark, rows))) == linked(rows, 3, 90)
+
+
+def test_many_groups_that_share_a_passage(spark, monkeypatch):
+    from paywarden.llm import jaccard_join
+
+    monkeypatch.setattr(jaccard_join, "_PAIRS_A_ROW", 0)
+    monkeypatch.setattr(jaccard_join, "_SEGMENT", 64)
+    monkeypatch.setattr(jaccard_join, "_FLUSH", 100)
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(d, f"{passage} x{d // 5} y{d // 5} z{d // 10}" + (" again" if d % 2 else "")) for d in range(120)]
+    rows += [(200 + d, f"own{d} w{d} v{d} u{d}") for d in range(50)]
+    for percent in (95, 80):
+        assert plain(jaccard_components(frame(spark, rows), percent=percent)) == linked(rows, 3, percent)
