@@ -6,12 +6,9 @@ Two sets that are similar enough share an n-gram among the first few of each
 (their prefixes), so an n-gram that only one class has finds no partner: it
 fills a place of the prefix and is not sent on.
 
-Counting all n-grams would shuffle more than the texts.  The order is rare-first
-inside a fixed part of the hash space (the front) that is wider than a prefix;
-the n-grams of the front come before all others.  Only the front's n-grams are
-counted, and all of small sets, whose front may be too narrow; tasks sort and
-count what they have before it is shuffled, four bytes an n-gram.  Counts come
-back as bitmaps, one for each step of frequency.
+All n-grams are counted, of one text for each class.  Tasks sort and count what
+they have before it is shuffled, four bytes an n-gram.  Counts come back as
+bitmaps, one for each step of frequency.
 
 Candidates share a prefix n-gram and pass a length filter, a positional filter
 (what can still overlap after the shared place) and a suffix filter (the sets'
@@ -19,10 +16,9 @@ sizes over parts of the hash space bound how far they differ).  Each pair is
 verified once, on whole sets.
 
 Pairs inside a group are not all made.  In each bucket the class with the
-shared n-gram foremost is compared with all others; links make components.  Of
-each other component the foremost class then takes its turn, and so on while
-there are many components.  In the end only classes of different components are
-compared, which loses no link that could matter.
+shared n-gram foremost is compared with all others; links make components.  Then
+only classes outside a bucket's main component are compared with the bucket's
+classes of other components, which loses no link that could matter.
 """
 
 from __future__ import annotations
@@ -41,16 +37,11 @@ from paywarden.llm.tables import KeyFilter, key_filter
 from paywarden.sources.tables import stage
 
 _PARTS = 128
-#: Sets up to this size are counted whole.
-_SMALL = 64
 #: N-grams of so many classes and more come later in the order.
 _LEVELS = [2, 8, 64, 512]
 #: N-grams a task sorts at once, and n-grams of a segment that is counted in one piece.
-_FLUSH = 1 << 22
+_FLUSH = 1 << 21
 _SEGMENT = 1 << 21
-#: Rounds of comparing foremost classes go on while pairs would exceed rows by so much.
-_PAIRS_A_ROW = 4
-_MOST_ROUNDS = 6
 
 
 def gram_sets(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -134,18 +125,7 @@ def _one_each(batch: pa.RecordBatch, size: int, chosen: KeyFilter) -> tuple[np.n
     return grams, np.concatenate([[0], np.cumsum(n[kept])]).astype(np.int64), [nodes[i] for i in kept]
 
 
-class _Front:
-    """Which n-grams belong to the front: those of a fixed share of the hash space."""
-
-    def __init__(self, percent: int):
-        self.below = np.uint64(min(0.9, 1.6 * (100 - percent) / 100) * 2.0**16)
-        self.share = float(self.below) / 2.0**16
-
-    def has(self, grams: np.ndarray) -> np.ndarray:
-        return grams & np.uint64(0xFFFF) < self.below
-
-
-def _emit_counts(size: int, chosen: KeyFilter, front: _Front, bits: int):
+def _emit_counts(size: int, chosen: KeyFilter, bits: int):
     """What a task has of each segment: n-grams it met once, and others with their counts."""
 
     def blobs(pool: list[np.ndarray]) -> pa.RecordBatch:
@@ -169,9 +149,7 @@ def _emit_counts(size: int, chosen: KeyFilter, front: _Front, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool, held = [], 0
         for batch in w.chunks(batches, "text"):
-            grams, first, _ = _one_each(batch, size, chosen)
-            n = np.diff(first)
-            grams = grams[front.has(grams) | np.repeat(n <= _SMALL, n)]
+            grams, _, _ = _one_each(batch, size, chosen)
             pool.append(grams)
             held += len(grams)
             if held >= _FLUSH:
@@ -197,7 +175,7 @@ def _shared_of_segment(bits: int):
     return run
 
 
-def _emit_prefixes(size: int, percent: int, chosen: KeyFilter, front: _Front, levels: list[KeyFilter]):
+def _emit_prefixes(size: int, percent: int, chosen: KeyFilter, levels: list[KeyFilter]):
     """(gram, node, n, at) for the n-grams in a class's prefix that others may have too."""
 
     def level(grams: np.ndarray) -> np.ndarray:
@@ -214,17 +192,12 @@ def _emit_prefixes(size: int, percent: int, chosen: KeyFilter, front: _Front, le
             n = np.diff(first)
             reach = _prefix(n, percent)
             owner = np.repeat(np.arange(len(n)), n)
-            inside = front.has(grams)
-            # Where the front is narrower than the prefix, the others follow.
-            narrow = np.bincount(owner[inside], minlength=len(n)) < reach
-            pick = inside | narrow[owner]
-            grams, owner, inside = grams[pick], owner[pick], inside[pick]
             step = level(grams)
-            order = np.lexsort((grams, step, ~inside, owner))
-            grams, owner, inside, step = grams[order], owner[order], inside[order], step[order]
-            begin = np.searchsorted(owner, np.arange(len(n)))
-            at = np.arange(len(owner)) - begin[owner] if len(owner) else owner
-            keep = (at < reach[owner]) & ~(inside & (step == 0))
+            # They are in order of names already.
+            order = np.argsort(owner * (len(levels) + 1) + step, kind="stable")
+            grams, owner, step = grams[order], owner[order], step[order]
+            at = np.arange(len(owner)) - first[owner]
+            keep = (at < reach[owner]) & (step > 0)
             grams, owner, at = grams[keep], owner[keep], at[keep]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(grams.view(np.int64)), pa.array(nodes, pa.binary()).take(pa.array(owner)), pa.array(at.astype(np.int64))],
@@ -287,12 +260,11 @@ class _Join:
         self.classes, _ = stage(classes.withColumn("own", F.monotonically_increasing_id()), "classes")
         self.n_classes, self.n_grams = self.classes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
 
-    def shared_grams(self, chosen: KeyFilter, front: _Front) -> list[KeyFilter]:
+    def shared_grams(self, chosen: KeyFilter) -> list[KeyFilter]:
         """Filters of the n-grams that two, some, many classes have."""
-        pool = front.share * self.n_grams
-        bits = min(32, max(0, int(pool / _SEGMENT).bit_length()))
+        bits = min(32, (self.n_grams // _SEGMENT).bit_length())
         counted = self.docs.mapInArrow(
-            _emit_counts(self.size, chosen, front, bits), "segment long, once binary, more binary, counts binary"
+            _emit_counts(self.size, chosen, bits), "segment long, once binary, more binary, counts binary"
         )
         shared = counted.groupBy("segment").applyInArrow(_shared_of_segment(bits), "gram long, n long")
         shared, _ = stage(shared, "shared")
@@ -303,14 +275,11 @@ class _Join:
     def prefixes(self) -> DataFrame:
         """(gram, node, n, at): the n-grams in the classes' prefixes that others may have too."""
         chosen = key_filter(self.classes, "row", self.n_classes)
-        front = _Front(self.percent)
-        levels = self.shared_grams(chosen, front)
         emitted = self.docs.mapInArrow(
-            _emit_prefixes(self.size, self.percent, chosen, front, levels), "gram long, node binary, at long"
+            _emit_prefixes(self.size, self.percent, chosen, self.shared_grams(chosen)), "gram long, node binary, at long"
         )
         own = self.classes.select("node", F.col("own").alias("class"), "n")
-        emitted = emitted.join(own, "node").select("gram", F.col("class").alias("node"), "n", "at")
-        return emitted
+        return emitted.join(own, "node").select("gram", F.col("class").alias("node"), "n", "at")
 
     def _close(self, n1: str, at1: str, n2: str, at2: str) -> Column:
         """The length and the positional filter."""
@@ -332,18 +301,21 @@ class _Join:
         most = F.expr(f"n_a + n_b - 2 * (({p} * (n_a + n_b) + {99 + p}) div {100 + p})")
         return pairs.withColumn("most", most).mapInArrow(_suffixes_near, "a long, b long")
 
-    def links(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Those of the pairs (a, b) that are linked, each verified once."""
-        pairs, _ = stage(self.near(pairs.distinct()), f"{name}-pairs")
-        nodes = pairs.select(F.col("a").alias("own")).union(pairs.select(F.col("b").alias("own"))).distinct()
-        nodes, found = stage(self.classes.join(nodes, "own").select("own", "node", "row"), f"{name}-nodes", {"n": F.count("*")})
-        wanted = key_filter(nodes, "row", found["n"])
+    def candidates(self, rows: DataFrame) -> DataFrame:
+        """(own, grams): the whole sets of all classes that share a prefix n-gram."""
+        own = self.classes.join(rows.select(F.col("node").alias("own")).distinct(), "own")
+        own, found = stage(own.select("own", "node", "row"), "candidates", {"n": F.count("*")})
+        wanted = key_filter(own, "row", found["n"])
         sets = self.docs.mapInArrow(_sets(self.size, wanted), "node binary, grams binary")
-        sets = sets.join(nodes.select("own", "node"), "node").groupBy("own").agg(F.first("grams").alias("grams"))
-        sets, _ = stage(sets, f"{name}-grams")
+        sets = sets.join(own.select("own", "node"), "node").groupBy("own").agg(F.first("grams").alias("grams"))
+        return stage(sets, "grams")[0]
+
+    def links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """Those of the pairs (a, b) that are linked, each verified once."""
+        pairs = self.near(pairs.distinct())
         for c in "ab":
             pairs = pairs.join(sets.select(F.col("own").alias(c), F.col("grams").alias(f"grams_{c}")), c)
-        return stage(pairs.mapInArrow(_verify(self.percent), "a long, b long"), f"{name}-links")[0]
+        return stage(pairs.mapInArrow(_verify(self.percent), "a long, b long"), "linked")[0]
 
     def labels(self) -> DataFrame:
         """(node, label): the component of each linked class."""
@@ -351,46 +323,29 @@ class _Join:
         sizes = rows.groupBy("gram").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
         # Copies of a row that both stand for a class come twice.
         rows = rows.distinct().join(sizes.select("gram"), "gram")
-        rows, seen = stage(rows, "prefixes", {"n": F.count("*")})
-        foremost = F.min(F.struct("at", "node", "n"))
-        hubs = rows.groupBy("gram").agg(foremost.alias("hub"))
-        links = self.links(self._stars(rows, hubs, F.lit(True)), "stars")
+        rows, _ = stage(rows, "prefixes")
+        sets = self.candidates(rows)
+        links = self.links(self.stars(rows), sets)
         found = components(links)
-        for _ in range(_MOST_ROUNDS):
-            apart, pairs = self.open_rows(rows, found)
-            if pairs <= _PAIRS_A_ROW * seen["n"]:
-                break
-            # The foremost class outside a bucket's main component meets all of other components.
-            hubs = apart.where("label <> main").groupBy("gram").agg(F.min(F.struct("at", "node", "n", "label")).alias("hub"))
-            more = self.links(self._stars(apart, hubs, F.col("label") != F.col("hub.label")), "stars")
-            if more.isEmpty():
-                break
-            links, _ = stage(links.union(more), "links")
-            found = components(links)
-        rest = self.links(self.apart(self.open_rows(rows, found)[0]), "rest")
+        rest = self.links(self.apart(rows, found), sets)
         if rest.isEmpty():
             return found
         return components(links.union(rest))
 
-    def _stars(self, rows: DataFrame, hubs: DataFrame, wanted: Column) -> DataFrame:
-        """Pairs of each bucket's hub and the other rows."""
-        stars = rows.join(hubs, "gram").where(wanted & (F.col("hub.node") != F.col("node")))
-        stars = stars.where(self._close("n", "at", "hub.n", "hub.at"))
-        return stars.select(F.least("hub.node", "node").alias("a"), F.greatest("hub.node", "node").alias("b"))
+    def stars(self, rows: DataFrame) -> DataFrame:
+        """Pairs of each bucket's foremost class and the others."""
+        hubs = rows.groupBy("gram").agg(F.min(F.struct("at", "node", "n")).alias("hub"))
+        pairs = rows.join(hubs, "gram").where(F.col("hub.node") != F.col("node"))
+        pairs = pairs.where(self._close("n", "at", "hub.n", "hub.at"))
+        return pairs.select(F.least("hub.node", "node").alias("a"), F.greatest("hub.node", "node").alias("b"))
 
-    def open_rows(self, rows: DataFrame, found: DataFrame) -> tuple[DataFrame, int]:
-        """Rows of buckets with several components, and how many pairs they would make."""
+    def apart(self, rows: DataFrame, found: DataFrame) -> DataFrame:
+        """Pairs of one bucket that are not of one component yet."""
         rows = rows.join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        # One row for each bucket and component; buckets with one component are done.
         sizes = rows.groupBy("gram", "label").agg(F.count("*").alias("m"))
-        main = sizes.groupBy("gram").agg(
-            F.max(F.struct("m", "label")).alias("top"), F.sum("m").alias("all"), F.count("*").alias("k")
-        ).where("k > 1")
-        main = main.select("gram", F.col("top.label").alias("main"), (F.col("all") * (F.col("all") - F.col("top.m"))).alias("pairs"))
-        apart, _ = stage(rows.join(main.drop("pairs"), "gram"), "apart")
-        return apart, main.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0]
-
-    def apart(self, open_rows: DataFrame) -> DataFrame:
-        """Pairs of one bucket that are not of one component yet."""
+        main = sizes.groupBy("gram").agg(F.max(F.struct("m", "label")).alias("top"), F.count("*").alias("k")).where("k > 1")
+        open_rows, _ = stage(rows.join(main.select("gram", F.col("top.label").alias("main")), "gram"), "apart")
         others = open_rows.where("label <> main").select(
             "gram", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("at").alias("at_b"), F.col("label").alias("label_b")
         )

@@ -153,7 +153,6 @@ def test_words_that_a_polynomial_cannot_tell_apart(spark):
 def test_many_groups_that_share_a_passage(spark, monkeypatch):
     from paywarden.llm import jaccard_join
 
-    monkeypatch.setattr(jaccard_join, "_PAIRS_A_ROW", 0)
     monkeypatch.setattr(jaccard_join, "_SEGMENT", 64)
     monkeypatch.setattr(jaccard_join, "_FLUSH", 100)
     passage = " ".join(f"p{i}" for i in range(30))
