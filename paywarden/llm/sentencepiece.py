@@ -76,7 +76,7 @@ class Pieces:
     """Pieces with scores, and what encoding and decoding need of them."""
 
     def __init__(self, pieces: list[str], scores: list[float], ordinary: list[bool], byte_ids: list[int]):
-        self.scores, self.byte_ids, self._encoder = scores, byte_ids, None
+        self.scores, self.byte_ids, self._encoder, self._table = scores, byte_ids, None, None
         own = {p: i for i, p in enumerate(pieces) if ordinary[i]}
         if any(_MARK in p.lstrip(_MARK) for p in own):
             raise ValueError("a piece holds a marker after text")
@@ -93,7 +93,7 @@ class Pieces:
         return self._encoder
 
     def __getstate__(self):
-        return self.__dict__ | {"_encoder": None}
+        return self.__dict__ | {"_encoder": None, "_table": None}
 
     @classmethod
     def load(cls, path: str) -> Pieces:
@@ -142,6 +142,28 @@ class Pieces:
             n = i
         return out[::-1]
 
+    def joined(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all ids, one after another, and where each id's begin."""
+        if self._table is None:
+            ends = np.cumsum([0, *map(len, self.bytes)])
+            self._table = np.frombuffer(b"".join(self.bytes), np.uint8), ends[:-1], np.diff(ends)
+        data, start, size = self._table
+        length = size[ids]
+        begin = np.concatenate([[0], np.cumsum(length)])
+        at = np.repeat(start[ids] - begin[:-1], length) + np.arange(begin[-1])
+        return data[at], begin
+
+    def round_trips(self, texts: list[str], flat: np.ndarray, first: np.ndarray) -> list[bool]:
+        """Does decoding give each text back?  Bytes that differ are decoded to see."""
+        data, begin = self.joined(flat)
+        data, begin = data.tobytes(), begin[first].tolist()
+        out = []
+        for i, text in enumerate(texts):
+            own = data[begin[i] : begin[i + 1]]
+            same = own == b" " + text.encode() if text else not own
+            out.append(same or self.decode(flat[first[i] : first[i + 1]].tolist()) == text)
+        return out
+
     def decode(self, ids: list[int]) -> str:
         """Text of ids; markers become spaces, the first one goes, broken bytes become U+FFFD."""
         text = b"".join([self.bytes[i] for i in ids]).decode("utf-8", "replace")
@@ -189,10 +211,10 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
         for batch in w.chunks(batches, "text"):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             ids = [encoder(t) for t in texts]
-            same = [pieces.decode(x.tolist()) == t for x, t in zip(ids, texts)]
             ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             flat = np.concatenate([*ids, np.zeros(0, np.int32)])
-            n_bytes = [int(is_byte[x].sum()) for x in ids]
+            same = pieces.round_trips(texts, flat, ends)
+            n_bytes = np.diff(np.concatenate([[0], np.cumsum(is_byte[flat])])[ends])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(np.diff(ends).astype(np.int64)), pa.array(n_bytes, pa.int64()), pa.array(same)],
                 ["id", "ids", "n_tokens", "n_bytes", "round_trip"],
