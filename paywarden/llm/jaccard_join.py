@@ -319,7 +319,7 @@ class _Join:
 
     def labels(self) -> DataFrame:
         """(node, label): the component of each linked class."""
-        rows = self.prefixes()
+        rows, _ = stage(self.prefixes(), "emitted")
         sizes = rows.groupBy("gram").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
         # Copies of a row that both stand for a class come twice.
         rows = rows.distinct().join(sizes.select("gram"), "gram")
