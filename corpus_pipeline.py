@@ -32,13 +32,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language go: null texts and texts without a letter.
 
     This also holds where no row has a label, and a label that says unknown
-    takes no document with it.
+    takes no document with it.  Columns may have any name.
     """
-    columns = docs.columns
     learned = {lang: v for lang, v in learn(docs).items() if lang != UNKNOWN}
     # With nothing learned, any language is as near as another.
-    rows = predict(docs, learned or {"": np.zeros(DIMENSIONS)})
-    return rows.where(F.col("lang_pred") != UNKNOWN).select(*columns)
+    # Columns travel under their places, so that no name can clash.
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    text = names[docs.columns.index("text")]
+    rows = predict(docs.toDF(*names), learned or {"": np.zeros(DIMENSIONS)}, text_col=text)
+    return rows.where(F.col("lang_pred") != UNKNOWN).select(*names).toDF(*docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
