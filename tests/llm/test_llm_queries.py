@@ -60,3 +60,11 @@ def test_rows_without_or_with_equal_ids_are_decided_each(spark, tmp_path):
 def test_the_language_stage_needs_no_labels(spark, odd_docs, lang):
     docs = odd_docs.selectExpr("doc_id", "text", f"{lang} as lang", "id")
     assert sorted(r.id or 0 for r in corpus_pipeline.language_id(spark, docs, "").collect()) == [0, 4, 5, 5, 7, 8, 9]
+
+
+def test_the_language_stage_takes_columns_of_any_name(spark, odd_docs, no_docs):
+    named = odd_docs.selectExpr("doc_id", "text", "lang", "id as lang_pred", "'s' as score", "1 as c0")
+    kept = corpus_pipeline.language_id(spark, named, "")
+    assert kept.columns == named.columns
+    assert sorted(r.lang_pred or 0 for r in kept.collect()) == [0, 4, 5, 5, 7, 8, 9]
+    assert corpus_pipeline.language_id(spark, no_docs, "").collect() == []
