@@ -1,7 +1,10 @@
 """Secrets in text: named patterns, and tokens that pass a battery of randomness tests.
 
 Everything is a column expression.  Where a pattern matches, the text is split
-by it; lengths of pieces and matches give the spans, in code points.
+by it; lengths of pieces and matches give the spans, in code points.  Positions
+are added up in blocks, and what is used twice is held by a lambda's variable,
+so work is linear in a token's length and in a document's tested tokens, and
+grows with the power 1.5 of its matches.
 
 A long token is put into the narrowest encoding it fits: digits, letters, both,
 hexadecimal or base 32 without its separators, or base 64, which holds every
@@ -57,10 +60,13 @@ _ENCODINGS = [
 _WIDEST = _UPPER + _LOWER + _DIGITS + "+/"
 
 
-def _matches(text: Column, pattern: str) -> Column:
-    """Array of (start, end, found) of all matches, left to right."""
-    pieces = F.split(text, pattern, -1)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(steps: Column, at: Column) -> Column:
+    """Array of (start, end, found) of (gap, found) steps from position ``at`` on."""
     empty = F.array().cast("array<struct<start:int,end:int,found:string>>")
 
     def step(so_far: Column, x: Column) -> Column:
@@ -69,14 +75,44 @@ def _matches(text: Column, pattern: str) -> Column:
         own = F.struct(start.alias("start"), end.alias("end"), x["found"].alias("found"))
         return F.struct(end.alias("at"), F.concat(so_far["out"], F.array(own)).alias("out"))
 
-    steps = F.zip_with(
-        F.slice(pieces, F.lit(1), F.size(found)),
-        found,
-        lambda piece, m: F.struct(F.length(piece).alias("gap"), m.alias("found")),
-    )
-    first = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-    spans = F.aggregate(steps, first, step, lambda x: x["out"])
-    return F.when(text.rlike(pattern), spans).otherwise(empty)
+    return F.aggregate(steps, F.struct(at.alias("at"), empty.alias("out")), step, lambda x: x["out"])
+
+
+def _begins(widths: Column) -> Column:
+    """Where each of a row of blocks begins."""
+    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+
+    def step(so_far: Column, width: Column) -> Column:
+        out = F.concat(so_far["out"], F.array(so_far["at"]))
+        return F.struct((so_far["at"] + width).alias("at"), out.alias("out"))
+
+    return F.aggregate(widths, first, step, lambda x: x["out"])
+
+
+def _blocks(steps: Column) -> Column:
+    """The array cut into about as many blocks as a block has elements; it must not be empty."""
+    size = F.ceil(F.sqrt(F.size(steps))).cast("int")
+    return F.transform(F.sequence(F.lit(1), F.size(steps), size), lambda i: F.slice(steps, i, size))
+
+
+def _matches(text: Column, pattern: str) -> Column:
+    """Array of (start, end, found) of all matches, left to right."""
+    empty = F.array().cast("array<struct<start:int,end:int,found:string>>")
+    width = lambda s, x: s + x["gap"] + F.length(x["found"])
+
+    def steps(found: Column) -> Column:
+        return F.zip_with(
+            F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)),
+            found,
+            lambda piece, m: F.struct(F.length(piece).alias("gap"), m.alias("found")),
+        )
+
+    def spans(blocks: Column) -> Column:
+        begins = _begins(F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), width)))
+        return F.flatten(F.zip_with(blocks, begins, _running))
+
+    all_spans = _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda f: _let(steps(f), lambda s: _let(_blocks(s), spans)))
+    return F.when(text.rlike(pattern), all_spans).otherwise(empty)
 
 
 def _p_normal(z: Column) -> Column:
@@ -84,8 +120,8 @@ def _p_normal(z: Column) -> Column:
     return 1 / (1 + F.exp(F.lit(1.5976) * z + F.lit(0.07056) * z * z * z))
 
 
-def _equals(value: int):
-    return lambda x: x == value
+def _in_quarter(k: int, n_symbols: Column):
+    return lambda v: F.floor(v * 4 / n_symbols) == k
 
 
 def _of_kind(kind: int):
@@ -96,30 +132,38 @@ def _n_common(text: Column) -> Column:
     return F.length(text) - F.length(F.translate(text, _COMMON, ""))
 
 
+def _pairs(values: Column) -> Column:
+    """Neighbours as (a, b)."""
+    n = F.size(values) - 1
+    pair = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
+    return F.zip_with(F.slice(values, F.lit(1), n), F.slice(values, F.lit(2), n), pair)
+
+
 def _p_random(token: Column, alphabet: Column, values: Column) -> Column:
     """p-value of the battery for a token and its symbols' places in the alphabet, from 0."""
     n_symbols = F.length(alphabet).cast("double")
     n = F.size(values).cast("double")
-    part = F.transform(values, lambda v: F.floor(v * 4 / n_symbols))
     chi = F.lit(0.0)
     for k in range(4):
-        count = F.size(F.filter(part, _equals(k)))
+        count = F.size(F.filter(values, _in_quarter(k, n_symbols)))
         chi = chi + F.pow(count - n / 4, 2) / (n / 4)
     # Wilson and Hilferty's normal form of a chi-squared value with three degrees of freedom.
     p_chi = _p_normal((F.pow(chi / 3, 1 / 3) - (1 - 2 / 27)) / (2 / 27) ** 0.5)
-    below = F.slice(values, F.lit(1), F.size(values) - 1)
-    pairs = F.zip_with(below, F.slice(values, F.lit(2), F.size(values) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     half = n_symbols / 2
-    changes = F.size(F.filter(pairs, lambda x: (x["a"] < half) != (x["b"] < half)))
-    p_runs = 2 * _p_normal(F.abs(changes - (n - 1) / 2) / F.sqrt((n - 1) / 4))
     mean = (n_symbols - 1) / 2
     variance = (n_symbols * n_symbols - 1) / 12
-    product = F.aggregate(pairs, F.lit(0.0), lambda s, x: s + (x["a"] - mean) * (x["b"] - mean))
-    p_serial = 2 * _p_normal(F.abs(product / variance) / F.sqrt(n - 1))
+
+    def neighbours(pairs: Column) -> Column:
+        changes = F.size(F.filter(pairs, lambda x: (x["a"] < half) != (x["b"] < half)))
+        p_runs = 2 * _p_normal(F.abs(changes - (n - 1) / 2) / F.sqrt((n - 1) / 4))
+        product = F.aggregate(pairs, F.lit(0.0), lambda s, x: s + (x["a"] - mean) * (x["b"] - mean))
+        p_serial = 2 * _p_normal(F.abs(product / variance) / F.sqrt(n - 1))
+        return F.least(p_runs, p_serial)
+
     share = _n_common(alphabet) / n_symbols
     z_common = (_n_common(token) - n * share) / F.sqrt(n * share * (1 - share))
     p_common = F.when(share > 0, _p_normal(z_common)).otherwise(F.lit(1.0))
-    return F.least(F.lit(1.0), 4 * F.least(p_chi, p_runs, p_serial, p_common))
+    return F.least(F.lit(1.0), 4 * F.least(p_chi, _let(_pairs(values), neighbours), p_common))
 
 
 def _encoded(token: Column) -> Column:
@@ -146,7 +190,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     overlap.
 
     Null and empty texts have no spans.  Repeated rows are reported each.  Other
-    columns are not read.  Work and memory grow with a document's own matches.
+    columns are not read.  Memory grows with a document's own matches; a token may be
+    as long as its document.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col), text.alias("text"))
@@ -175,22 +220,29 @@ def _tokens(text: Column) -> Column:
 
 def _tested(x: Column) -> Column:
     token, alphabet = x["x"]["t"], x["x"]["a"]
-    places = F.sequence(F.lit(1), F.length(token))
-    values = F.transform(places, lambda i: F.instr(alphabet, F.substring(token, i, F.lit(1))) - 1)
-    p = _p_random(token, alphabet, values)
+    values = F.transform(F.split(token, ""), lambda c: F.instr(alphabet, c) - 1)
+    p = _let(values, lambda v: _p_random(token, alphabet, v))
     return F.struct(x["start"].alias("start"), x["end"].alias("end"), p.alias("p"))
 
 
 def _not_rejected(tested: Column) -> Column:
     """Weighted step-up rejection within the document; what is left."""
     m = F.size(tested)
-    total = F.aggregate(tested, F.lit(0.0), lambda s, x: s + (x["end"] - x["start"]))
-    over_mean = lambda x: F.greatest(F.lit(1.0), (x["end"] - x["start"]) * m / total)
-    weighted = F.transform(
-        tested,
-        lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), (x["p"] * over_mean(x)).alias("p")),
-    )
-    ordered = F.array_sort(F.transform(weighted, lambda x: x["p"]))
-    passing = F.transform(ordered, lambda p, i: F.when(p <= (i + 1) * FALSE_DISCOVERIES / m, p))
-    cut = F.coalesce(F.array_max(passing), F.lit(-1.0))
-    return F.filter(weighted, lambda x: x["p"] > cut)
+    length = lambda x: x["end"] - x["start"]
+    total = F.aggregate(tested, F.lit(0.0), lambda s, x: s + length(x))
+
+    def weighted(total: Column) -> Column:
+        over_mean = lambda x: F.greatest(F.lit(1.0), length(x) * m / total)
+        return F.transform(
+            tested, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), (x["p"] * over_mean(x)).alias("p"))
+        )
+
+    def cut(own: Column) -> Column:
+        ordered = F.array_sort(F.transform(own, lambda x: x["p"]))
+        passing = F.transform(ordered, lambda p, i: F.when(p <= (i + 1) * FALSE_DISCOVERIES / m, p))
+        return F.coalesce(F.array_max(passing), F.lit(-1.0))
+
+    def left(own: Column) -> Column:
+        return _let(cut(own), lambda c: F.filter(own, lambda x: x["p"] > c))
+
+    return _let(_let(total, weighted), left)
