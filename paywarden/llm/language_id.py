@@ -21,6 +21,9 @@ from paywarden.llm import words as w
 
 DIMENSIONS = 512
 UNKNOWN = "und"
+#: Bounds of the table that runs are counted in: texts times characters, and runs at a time.
+GROUP_CELLS = 1 << 24
+RUN_BLOCK = 1 << 13
 
 
 @lru_cache(maxsize=1)
@@ -37,8 +40,8 @@ def _vectors(points: np.ndarray) -> np.ndarray:
     return (np.unpackbits(bits.view(np.uint8), axis=1).astype(np.int8) * 2 - 1)
 
 
-def _counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """How often each text has each run of three, and the runs' vectors."""
+def _runs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The alphabet of some texts, their runs of three as numbers over it, and whose each run is."""
     lowered = [t.lower() for t in texts]
     data = np.frombuffer(("\n".join(lowered) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
     text = np.repeat(np.arange(len(texts)), np.array([len(t) + 1 for t in lowered]))
@@ -47,26 +50,51 @@ def _counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     keep[1:] = (points[1:] != 0) | (points[:-1] != 0) | (text[1:] != text[:-1])
     points, text = points[keep], text[keep]
     alphabet, code = np.unique(points, return_inverse=True)
-    if len(points) < 3:
-        return np.zeros((len(texts), 0), np.float32), np.zeros((0, DIMENSIONS), np.int8)
     k = len(alphabet)
     run = (code[:-2] * k + code[1:-1]) * k + code[2:]
     # Within one text, around at least one letter: a run is kept if its middle is one.
     inside = (text[:-2] == text[2:]) & (points[1:-1] != 0)
-    run, text = run[inside], text[:-2][inside]
     # A text's first word has no edge before it; its first two letters still count below.
+    return alphabet, run[inside], text[:-2][inside]
+
+
+def _sums(texts: list[str]) -> np.ndarray:
+    """Profiles of texts that are few for their length: their runs are counted in a table."""
+    out = np.zeros((len(texts), DIMENSIONS), np.float32)
+    alphabet, run, text = _runs(texts)
+    k, own = len(alphabet), _vectors(alphabet)
+    once, twice = np.roll(own, 1, axis=1), np.roll(own, 2, axis=1)
     runs, which = np.unique(run, return_inverse=True)
-    counts = np.bincount(text * len(runs) + which, minlength=len(texts) * len(runs)) if len(runs) else np.zeros(0)
-    own = _vectors(alphabet)
-    a, b, c = runs // (k * k), runs // k % k, runs % k
-    bound = np.roll(own, 2, axis=1)[a] * np.roll(own, 1, axis=1)[b] * own[c]
-    return counts.reshape(len(texts), len(runs)).astype(np.float32), bound
+    order = np.argsort(which, kind="stable")
+    which, text = which[order], text[order]
+    for at in range(0, len(runs), RUN_BLOCK):
+        block = runs[at : at + RUN_BLOCK]
+        bound = twice[block // (k * k)] * once[block // k % k] * own[block % k]
+        lo, hi = np.searchsorted(which, [at, at + len(block)])
+        cell = text[lo:hi] * len(block) + which[lo:hi] - at
+        counts = np.bincount(cell, minlength=len(texts) * len(block)).reshape(len(texts), len(block))
+        out += counts.astype(np.float32) @ bound.astype(np.float32)
+    return out
 
 
 def profiles(texts: list[str]) -> np.ndarray:
-    """One row of DIMENSIONS sums for each text."""
-    counts, bound = _counts([f" {t}" for t in texts])
-    return counts @ bound.astype(np.float32)
+    """One row of DIMENSIONS sums for each text.
+
+    Texts are taken in groups whose number times their length is at most
+    GROUP_CELLS, or one by one, and runs in blocks of RUN_BLOCK: memory does
+    not depend on the letters' variety.
+    """
+    texts = [f" {t}" for t in texts]
+    parts, group, size = [], [], 0
+    for t in texts:
+        if group and (len(group) + 1) * (size + len(t)) > GROUP_CELLS:
+            parts.append(_sums(group))
+            group, size = [], 0
+        group.append(t)
+        size += len(t)
+    if group:
+        parts.append(_sums(group))
+    return np.concatenate(parts) if parts else np.zeros((0, DIMENSIONS), np.float32)
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, np.ndarray]:
@@ -80,11 +108,10 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> di
         sums: dict[str, np.ndarray] = {}
         for batch in w.chunks(batches, "text"):
             langs = batch.column("lang").to_pylist()
-            counts, bound = _counts([f" {t}" for t in batch.column("text").to_pylist()])
+            profile = profiles(batch.column("text").to_pylist())
             for lang in sorted(set(langs)):
                 rows = [i for i, x in enumerate(langs) if x == lang]
-                own = counts[rows].sum(axis=0, dtype=np.float64) @ bound
-                sums[lang] = sums.get(lang, 0) + own
+                sums[lang] = sums.get(lang, 0) + profile[rows].sum(axis=0, dtype=np.float64)
         for lang, own in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([own.tolist()])], ["lang", "sums"])
 
