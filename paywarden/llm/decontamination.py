@@ -3,7 +3,8 @@
 An item of m characters may differ in k = 5 % of them.  Cut into k + 1 pieces,
 at least one piece is met unchanged (the pigeonhole principle).  An automaton
 finds all pieces; around each hit the item's edit distance to the best run of
-the text is taken by Myers' bit-parallel method.
+the text is taken by Myers' bit-parallel method.  An item under SHORT_CHARS has
+no budget: it is met as whole words, unchanged.
 """
 
 from __future__ import annotations
@@ -18,7 +19,10 @@ from pyspark.sql.types import StructType
 from paywarden.llm import words as w
 
 ERROR_RATE = 0.05
-#: Shorter items are too common to be evidence.
+#: Shorter items have an error budget of 0 and must stand between word bounds.
+SHORT_CHARS = 24
+#: Least characters of an item to be searched, if a caller does not say otherwise:
+#: shorter ones are phrases that many clean texts hold, and no evidence of a leak.
 LEAST_CHARS = 24
 #: Items are searched in blocks of about so many characters, which bounds what is sent.
 BLOCK_CHARS = 4_000_000
@@ -31,6 +35,8 @@ def plain(text: str) -> str:
 
 def pieces(item: str) -> list[tuple[int, str]]:
     """The error budget plus one pieces, with their offsets."""
+    if len(item) < SHORT_CHARS:
+        return [(-1, f" {item} ")]
     n = int(len(item) * ERROR_RATE) + 1
     edges = [len(item) * i // n for i in range(n + 1)]
     return [(a, item[a:b]) for a, b in zip(edges, edges[1:])]
@@ -92,10 +98,11 @@ class Items:
         """(item id, distance, end in ``text``): the nearest run for each item found."""
         best: dict[int, tuple[int, int]] = {}
         seen: set[tuple[int, int]] = set()
-        for last, (length, owners) in self.automaton().iter(text):
+        # A space on both sides lets word bounds be part of a piece.
+        for last, (length, owners) in self.automaton().iter(f" {text} "):
             for number, offset in owners:
                 item = self.rows[number][1]
-                begin = last + 1 - length - offset
+                begin = last - length - offset
                 if number in best and best[number][0] == 0:
                     continue
                 if begin >= 0 and text.startswith(item, begin):
@@ -115,12 +122,12 @@ class Items:
         return [(self.rows[number][0], d, end) for number, (d, end) in sorted(best.items())]
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
+def _blocks(items: DataFrame, id_col: str, text_col: str, least_chars: int) -> Iterator[list[tuple[int, str]]]:
     """Usable items, a bounded number of characters at a time."""
     block, size = [], 0
     for item_id, text in items.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).toLocalIterator():
         own = plain(text or "")
-        if item_id is None or len(own) < LEAST_CHARS:
+        if item_id is None or len(own) < max(1, least_chars):
             continue
         block.append((item_id, own))
         size += len(own)
@@ -138,13 +145,16 @@ def find_leaks(
     text_col: str = "text",
     item_id_col: str = "item_id",
     item_text_col: str = "text",
+    least_chars: int = LEAST_CHARS,
 ) -> DataFrame:
     """One row per document and item that it holds: id, ``item_id``, ``distance``, ``end_char``.
 
     Text is compared as its words in lower case, one space between them;
-    ``end_char`` is where the nearest run ends in that form.  Null, empty and
-    short items (under LEAST_CHARS) are never found, null and empty documents
-    hold none.  Items with equal texts are each reported, repeated rows as well.
+    ``end_char`` is where the nearest run ends in that form.  Items of at least
+    ``least_chars`` characters in that form are searched, with 1 all of them;
+    those under SHORT_CHARS are found as whole words without any edit.  Items
+    without a word or an id are never found, null and empty documents hold
+    none.  Other columns are not read.  Items with equal texts are each reported, repeated rows as well.
     Every text is searched whole.  A document's id may be a struct.
     """
     spark = docs.sparkSession
@@ -153,7 +163,7 @@ def find_leaks(
     rows = docs.select(F.col(id_col).cast(kind).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = f"id {kind}, item_id long, distance int, end_char long"
     out = None
-    for block in _blocks(items, item_id_col, item_text_col):
+    for block in _blocks(items, item_id_col, item_text_col, least_chars):
         shared = spark.sparkContext.broadcast(Items(block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

@@ -97,7 +97,8 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_leaks(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return find_leaks(_documents(spark, sf_dir), items, least_chars=1)
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
