@@ -3,7 +3,10 @@
 import hashlib
 import random
 import re
+import time
+import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 
@@ -150,6 +153,30 @@ def test_long_keys_among_ordinary_tokens_are_found(spark):
         assert sum(len(spans[i]) for i in range(k, 20, 4)) >= 4
 
 
+def test_long_tokens_and_many_matches_take_time_in_proportion(spark):
+    rng = random.Random(13)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+    def key(n):
+        return "".join(rng.choices(alphabet, k=n))
+
+    def seconds(*texts):
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        begin = time.monotonic()
+        out = {r.doc_id: [tuple(s) for s in r.spans] for r in secrets.find_secrets(df).collect()}
+        return time.monotonic() - begin, out
+
+    seconds("warm " + key(1000))
+    took, out = seconds("x" * 10 + " " + key(400_000), " ".join(key(24) for _ in range(20_000)))
+    assert took < 60
+    assert out[0] in ([], [(11, 3, 400_011)])
+    assert 18_000 < len(out[1]) <= 20_000 and all(a % 25 == 0 and b == a + 24 for a, _, b in out[1])
+    # Spans of a text with many matches are those of the plain version.
+    text = " ".join(rng.choice(["token=abcdefgh1", "AKIAABCDEFGH2345", "ok", "secret: é", "0123456789abcdef" * 2]) for _ in range(5_000))
+    _, out = seconds(text)
+    assert [s for s in out[0] if s[1] < 3] == secret_spans(text)
+
+
 # --- pieces ------------------------------------------------------------------
 
 
@@ -281,6 +308,30 @@ def test_leaks_in_tables(spark, odd_docs, no_docs):
     assert leaks.find_leaks(odd_docs, items.where("false")).count() == 0
 
 
+def _plain_found(item, text):
+    item, text = leaks.plain(item), leaks.plain(text)
+    if len(item) < leaks.SHORT_CHARS:
+        return bool(item) and f" {item} " in f" {text} "
+    return _distance(item, text) <= int(len(item) * leaks.ERROR_RATE)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="ab ,", max_size=30), max_size=6), st.text(alphabet="ab ,", max_size=60))
+def test_items_of_any_length_are_found(items, text):
+    rows = [(i, own) for i, t in enumerate(items) if (own := leaks.plain(t))]
+    got = {i for i, *_ in leaks.Items(rows).found(leaks.plain(text))} if rows else set()
+    assert got == {i for i, t in enumerate(items) if _plain_found(t, text)}
+
+
+def test_short_items_are_found_as_whole_words(spark, odd_docs):
+    rows = [(1, "lazy dog"), (2, "azy do"), (3, "Jumps-Over"), (4, "lazy dgg"), (5, " ,"), (6, None), (None, "lazy"), (7, "漢字")]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    got = leaks.find_leaks(odd_docs, items, least_chars=1).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(d, i) for d in (4, 5, 6, None) for i in (1, 3)} | {(8, 7)}
+    assert {(r.distance, r.end_char) for r in got if r.item_id == 1} == {(0, 43)}
+    assert leaks.find_leaks(odd_docs, items).count() == 0
+
+
 # --- licenses and languages --------------------------------------------------
 
 
@@ -331,3 +382,39 @@ def test_profiles_do_not_depend_on_neighbours():
     together = language_id.profiles(texts)
     assert all((together[i] == language_id.profiles([t])[0]).all() for i, t in enumerate(texts))
     assert pa.array(texts).null_count == 0
+
+
+def _plain_profile(text):
+    letters = ["\0"]
+    for c in f" {text}\n".lower():
+        if c.isalpha() or letters[-1] != "\0":
+            letters.append(c if c.isalpha() else "\0")
+    out = np.zeros(language_id.DIMENSIONS)
+    for a, b, c in zip(letters, letters[1:], letters[2:]):
+        if b != "\0":
+            x, y, z = language_id._vectors(np.array([ord(a), ord(b), ord(c)], np.uint32)).astype(int)
+            out += np.roll(x, 2) * np.roll(y, 1) * z
+    return out
+
+
+def test_profiles_are_those_of_the_definition():
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("abc äÖ漢字.7\n", k=rng.randrange(40))) for _ in range(60)]
+    for own, text in zip(language_id.profiles(texts), texts):
+        assert (own == _plain_profile(text)).all(), text
+
+
+def test_many_short_texts_with_many_letters_need_little_memory():
+    rng = random.Random(9)
+    han = [chr(c) for c in range(0x4E00, 0x9000)]
+    texts = ["".join(rng.choices(han, k=17)) for _ in range(10_000)]
+    some = language_id.profiles(texts[:50])
+    tracemalloc.start()
+    whole = language_id.profiles(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    one = "".join(texts)
+    tracemalloc.reset_peak()
+    language_id.profiles([one])
+    assert peak < 400e6 and tracemalloc.get_traced_memory()[1] < 600e6
+    tracemalloc.stop()
+    assert (whole[:50] == some).all()
