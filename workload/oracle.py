@@ -78,6 +78,20 @@ quarantine AS (
   SELECT * FROM clean WHERE amount <= 0
 )"""
 
+_ROUGH = _TX + """,
+bronze AS (
+  SELECT CASE WHEN n % 37 = 6 THEN NULL WHEN i > 0 THEN n || '-' || i ELSE CAST(n AS VARCHAR) END AS transaction_id,
+         CASE WHEN n % 41 = 8 THEN NULL ELSE user_id END AS user_id, 'MRC_' || (n * 7 % 500) AS merchant_id,
+         CASE WHEN n % 31 = 5 AND copy = 0 THEN 'nan'::DOUBLE ELSE amount + copy END AS amount,
+         'CITY_' || ((n + copy) % 60) AS location,
+         CASE WHEN n % 43 = 9 THEN NULL ELSE 'DEV_' || (n % 30) END AS device_id, payment_method,
+         strftime("timestamp" + to_seconds(30 * i), '%Y-%m-%d %H:%M:%S') AS "timestamp", transaction_status
+  FROM (SELECT *, unnest(generate_series(0, CASE WHEN n % 7 = 3 THEN 1 ELSE 0 END)) AS copy
+        FROM (SELECT *, unnest(generate_series(0, CASE WHEN n % 40 = 0 THEN 14 ELSE 0 END)) AS i
+              FROM (SELECT *, CAST(transaction_id AS BIGINT) AS n FROM tx)))
+)"""
+_ROUGH_UNIQUE, _ROUGH_CLEAN = _UNIQUE.replace(_BRONZE, _ROUGH), _CLEAN.replace(_BRONZE, _ROUGH)
+
 _UPLOADED = _TX + """,
 uploaded AS (
   SELECT *,
@@ -165,6 +179,8 @@ _F = _with(_TX, _features("tx"))
 _S = _with(_TX, _features("tx"), _SCORED)
 _A = _with(_TX, _features("tx"), _SCORED, _raised())
 _A1 = _with(_TX, _features("tx"), _SCORED, _raised(burst=1))
+_ROUGH_F = _with(_ROUGH_CLEAN, _features("silver"))
+_ROUGH_ALERTS = _with(_ROUGH_CLEAN, _features("silver"), _SCORED, _raised())
 _SILVER_ALERTS = _with(_CLEAN, _features("silver"), _SCORED, _raised())
 
 
@@ -232,6 +248,20 @@ def all_oracle_sql() -> dict[str, str]:
        CASE WHEN n % 79 = 0 THEN location || ', the "old" town' ELSE location END AS location,
        device_id, payment_method, date_trunc('second', "timestamp") AS "timestamp", transaction_status
 FROM uploaded WHERE NOT malformed AND n % 73 <> 0 AND floor(amount) > 0""",
+        "rough_dedup": _with(_ROUGH_UNIQUE) + f"SELECT {_COLUMNS} FROM uniq",
+        "rough_silver": _with(_ROUGH_CLEAN) + f"SELECT {_COLUMNS} FROM silver",
+        "rough_quarantine": _with(_ROUGH_CLEAN) + f"SELECT {_COLUMNS} FROM quarantine",
+        "rough_features": _ROUGH_F + f"SELECT transaction_id, {_ROUNDED_FEATURES}, {_CONTEXT} FROM feats",
+        "rough_features_hot_users": _ROUGH_F + f"SELECT transaction_id, {_ROUNDED_FEATURES}, {_CONTEXT} FROM feats",
+        "rough_first_seen": _with(_ROUGH_CLEAN)
+        + """SELECT c.transaction_id, c.user_id, c.device_id, c."timestamp", f.first_seen_device_ts
+FROM clean c LEFT JOIN (SELECT user_id, device_id, min("timestamp") AS first_seen_device_ts FROM clean GROUP BY ALL) f
+  ON c.user_id = f.user_id AND c.device_id = f.device_id""",
+        "rough_alerts": _ROUGH_ALERTS + f"SELECT {_ALERT_COLUMNS} FROM alerts",
+        "rough_alert_types": _ROUGH_ALERTS + _top("alerts", "alert_type"),
+        "rough_alerts_by_merchant": _ROUGH_ALERTS + _top("alerts", "merchant_id", 20),
+        "rough_alerts_by_location": _ROUGH_ALERTS + _top("alerts", "location", 10),
+        "rough_top_devices": _with(_ROUGH_CLEAN) + _top("silver", "device_id", 10),
         "transaction_velocity": _feature("transaction_velocity"),
         "avg_transaction_amount": _feature(
             "round(average_transaction_amount, 6) AS average_transaction_amount"

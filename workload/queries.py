@@ -31,7 +31,7 @@ from paywarden.sources.dated import read_days, write_days
 from paywarden.sources.tables import shared_folder, stage
 from paywarden.sources.uploads import read_csv
 from paywarden.streaming import silver as cleansing, velocity
-from workload.views import bronze, transactions, uploaded_lines
+from workload.views import bronze, rough_bronze, transactions, uploaded_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -253,6 +253,82 @@ def first_seen_device(spark, sf_dir):
     return rows.select("transaction_id", "user_id", "device_id", "timestamp", "first_seen_device_ts")
 
 
+# --- rows that put every choice to the test --------------------------------
+
+
+def _rough_layer(spark, sf_dir, layer=quality.SILVER):
+    rows = quality.routed(rough_bronze(spark, sf_dir))
+    return rows.where(F.col("layer") == layer).drop("layer")
+
+
+@_query
+def rough_dedup(spark, sf_dir):
+    """Copies that differ, NaN among them, and rows without an id."""
+    return quality.deduplicate(rough_bronze(spark, sf_dir))
+
+
+@_query
+def rough_silver(spark, sf_dir):
+    return _rough_layer(spark, sf_dir)
+
+
+@_query
+def rough_quarantine(spark, sf_dir):
+    return _rough_layer(spark, sf_dir, quality.QUARANTINE)
+
+
+@_query
+def rough_features(spark, sf_dir):
+    """The features of users with bursts, many locations and many devices."""
+    rows = feat.behaviour(_rough_layer(spark, sf_dir))
+    return rows.select("transaction_id", *FEATURE_COLUMNS, *CONTEXT_COLUMNS)
+
+
+@_query
+def rough_features_hot_users(spark, sf_dir):
+    rows = hot_users.hot_user_columns(_rough_layer(spark, sf_dir))
+    return rows.select("transaction_id", *FEATURE_COLUMNS, *CONTEXT_COLUMNS)
+
+
+@_query
+def rough_first_seen(spark, sf_dir):
+    """First times where users and devices may be NULL, which have none."""
+    rows = quality.normalize_timestamp(quality.deduplicate(rough_bronze(spark, sf_dir)))
+    return feat.first_seen_by_join(rows).select("transaction_id", "user_id", "device_id", "timestamp", "first_seen_device_ts")
+
+
+def _rough_alerts(spark, sf_dir):
+    features = feat.behaviour(_rough_layer(spark, sf_dir))
+    return rules.detect_fraud_rules(scoring.compute_risk_score(features))
+
+
+@_query
+def rough_alerts(spark, sf_dir):
+    """All four rules at their default thresholds."""
+    return _rough_alerts(spark, sf_dir)
+
+
+@_query
+def rough_alert_types(spark, sf_dir):
+    return marts.alert_type_breakdown(_rough_alerts(spark, sf_dir))
+
+
+@_query
+def rough_alerts_by_merchant(spark, sf_dir):
+    """The 20 first of hundreds of merchants, ties at the cut among them."""
+    return marts.alerts_by_merchant(_rough_alerts(spark, sf_dir))
+
+
+@_query
+def rough_alerts_by_location(spark, sf_dir):
+    return marts.alerts_by_location(_rough_alerts(spark, sf_dir))
+
+
+@_query
+def rough_top_devices(spark, sf_dir):
+    return marts.top_devices(_rough_layer(spark, sf_dir))
+
+
 # --- batch by batch, day by day --------------------------------------------
 
 

@@ -86,3 +86,29 @@ def uploaded_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit(","), F.col("transaction_status")))
     )
     return transactions(spark, sf_dir).select(F.concat(F.concat_ws(",", *fields), end).alias("value"))
+
+
+def rough_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events with what the plain view lacks.
+
+    Copies of a transaction differ, amounts are NaN, ids, users and devices are
+    NULL, every fortieth event is a burst of 15 transactions 30 s apart, and
+    there are hundreds of merchants and dozens of locations and devices.
+    """
+    number = F.col("_number")
+    rows = transactions(spark, sf_dir).withColumn("_number", F.col("transaction_id").cast("long"))
+    rows = rows.withColumn("_i", F.explode(F.sequence(F.lit(0), F.when(number % 40 == 0, 14).otherwise(0))))
+    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.when(number % 7 == 3, 1).otherwise(0))))
+    own_id = F.when(F.col("_i") > 0, F.concat_ws("-", number, F.col("_i"))).otherwise(number.cast("string"))
+    late = F.timestamp_seconds(F.unix_timestamp("timestamp") + 30 * F.col("_i"))
+    return rows.withColumns(
+        {
+            "transaction_id": F.when(number % 37 != 6, own_id),
+            "user_id": F.when(number % 41 != 8, F.col("user_id")),
+            "merchant_id": F.concat(F.lit("MRC_"), number * 7 % 500),
+            "amount": F.when((number % 31 == 5) & (F.col("_copy") == 0), F.lit(float("nan"))).otherwise(F.col("amount") + F.col("_copy")),
+            "location": F.concat(F.lit("CITY_"), (number + F.col("_copy")) % 60),
+            "device_id": F.when(number % 43 != 9, F.concat(F.lit("DEV_"), number % 30)),
+            "timestamp": F.date_format(late, TIMESTAMP_FORMAT),
+        }
+    ).select(*TRANSACTION_COLUMNS)
