@@ -10,8 +10,9 @@ lie in a window is the same wherever that window occurs.
 
 A window is looked up by the first of its highest such symbols (or by its own
 name if it has none).  Symbols met in one document only are done with after
-one count.  Windows around the others are verified by exact comparison
-of their names across documents.  Symbols in very many documents are known
+one count.  Windows around the others are compared across documents by 128-bit
+names, made of two hashes of all their words with different seeds; each text
+sends a window once.  Symbols in very many documents are known
 from the aggregation; their windows are dealt out by window and salt.
 """
 
@@ -73,8 +74,8 @@ def _rounds(names: np.ndarray, found: w.Words) -> tuple[np.ndarray, int, list]:
     return place, total, out
 
 
-def window_symbols(found: w.Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each window: its name, the symbol it is looked up by, its text."""
+def window_symbols(found: w.Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each window: its name, the symbol it is looked up by, its text and its first word."""
     names = found.names()
     window, at = found.windows(names, size)
     text = found.text_of()[at] if len(at) else at
@@ -94,7 +95,16 @@ def window_symbols(found: w.Words, size: int) -> tuple[np.ndarray, np.ndarray, n
             hit &= high[own] <= first[rest] + size
             key[rest[hit]] = symbol[own[hit]]
             rest = rest[~hit]
-    return window, key, text
+    return window, key, text, at
+
+
+def _second_names(found: w.Words, at: np.ndarray, size: int) -> np.ndarray:
+    """Names of windows by another hash of their words."""
+    names = found.names(seed=1) if len(at) else np.zeros(0, np.uint64)
+    out = np.full(len(at), ~size, np.int64).view(np.uint64)
+    for k in range(size):
+        out = w.combine(out, names[at + k])
+    return out
 
 
 def _distinct(*columns: np.ndarray) -> np.ndarray:
@@ -109,7 +119,7 @@ def _distinct(*columns: np.ndarray) -> np.ndarray:
 def _emit_symbols(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in w.chunks(batches, "text"):
-            _, key, text = window_symbols(w.words_of(batch, "text"), size)
+            _, key, text, _ = window_symbols(w.words_of(batch, "text"), size)
             new = _distinct(key, text)
             key, text = key[new], text[new]
             # Each symbol once for each text.
@@ -124,14 +134,22 @@ def _emit_symbols(size: int):
 def _emit_windows(size: int, shared, hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in w.chunks(batches, "text"):
-            window, key, text = window_symbols(w.words_of(batch, "text"), size)
-            pick = shared.has(key)
+            found = w.words_of(batch, "text")
+            window, key, text, at = window_symbols(found, size)
+            pick = np.flatnonzero(shared.has(key))
+            second = _second_names(found, at[pick], size)
+            # Each window once for each text.
+            order = np.lexsort((second, window[pick], text[pick]))
+            pick, second = pick[order], second[order]
+            new = _distinct(text[pick], window[pick], second)
+            pick, second = pick[new], second[new]
             window, key, text = window[pick], key[pick], text[pick]
             ids = batch.column("id").take(pa.array(text))
             salt = 1 + (w.mix(np.asarray(ids).view(np.uint64)) % np.uint64(_SALTS)).astype(np.int32)
             salt[~np.isin(key, hot.value)] = 0
             yield pa.RecordBatch.from_arrays(
-                [pa.array(window.view(np.int64)), ids, pa.array(salt)], ["window", "id", "salt"]
+                [pa.array(window.view(np.int64)), pa.array(second.view(np.int64)), ids, pa.array(salt)],
+                ["window", "second", "id", "salt"],
             )
 
     return run
@@ -196,13 +214,13 @@ def shared_windows(docs: DataFrame, size: int) -> DataFrame:
     hot = np.array([r.key for r in keys.where(F.col("n") > limit).collect()], np.int64)
     shared = key_filter(keys, "key", n_keys)
     hot = spark.sparkContext.broadcast(np.sort(hot.view(np.uint64)))
-    rows = docs.mapInArrow(_emit_windows(size, shared, hot), "window long, id long, salt int")
-    own = Window.partitionBy("window", "salt").orderBy("id")
+    rows = docs.mapInArrow(_emit_windows(size, shared, hot), "window long, second long, id long, salt int")
+    own = Window.partitionBy("window", "second", "salt").orderBy("id")
     rows = rows.withColumn("first", F.first("id").over(own)).where("first < id or salt > 0")
-    rows = stage(rows.select("window", "id", "first"), "windows")
+    rows = stage(rows.select("window", "second", "id", "first"), "windows")
     later = rows.where("first < id").select("id", "window")
     # Of a hot window each salt's first document is left: few rows, compared once more.
-    again = Window.partitionBy("window").orderBy("id")
+    again = Window.partitionBy("window", "second").orderBy("id")
     firsts = rows.where("first = id").withColumn("first", F.first("id").over(again))
     return later.union(firsts.where("first < id").select("id", "window"))
 
