@@ -10,9 +10,9 @@ lie in a window is the same wherever that window occurs.
 
 A window is looked up by the first of its highest such symbols (or by its own
 name if it has none).  Symbols met in one document only are done with after
-one count.  Windows around the others are compared across documents by 128-bit
-names, made of two hashes of all their words with different seeds; each text
-sends a window once.  Symbols in very many documents are known
+one count.  Windows around the others are compared across documents by names
+of 104 bits, two hashes of all their words' names; each text sends a window
+once.  Symbols in very many documents are known
 from the aggregation; their windows are dealt out by window and salt.
 """
 
@@ -32,6 +32,8 @@ _ROUNDS = 5
 _HOT_SHARE = 1 << 16
 _HOT_LEAST = 1000
 _SALTS = 64
+#: Windows are named by 64 bits and so many more.
+_SECOND_BITS = 40
 
 
 def _rounds(names: np.ndarray, found: w.Words) -> tuple[np.ndarray, int, list]:
@@ -98,13 +100,12 @@ def window_symbols(found: w.Words, size: int) -> tuple[np.ndarray, np.ndarray, n
     return window, key, text, at
 
 
-def _second_names(found: w.Words, at: np.ndarray, size: int) -> np.ndarray:
-    """Names of windows by another hash of their words."""
-    names = found.names(seed=1) if len(at) else np.zeros(0, np.uint64)
-    out = np.full(len(at), ~size, np.int64).view(np.uint64)
-    for k in range(size):
-        out = w.combine(out, names[at + k])
-    return out
+def _second_names(names: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Names of _SECOND_BITS bits for windows, by another hash of their words' names."""
+    out = np.zeros(len(at), np.uint64)
+    for k, factor in enumerate(w.mix(np.arange(1, size + 1)) | np.uint64(1)):
+        out += names[at + k] * factor
+    return w.mix(out) >> np.uint64(64 - _SECOND_BITS)
 
 
 def _distinct(*columns: np.ndarray) -> np.ndarray:
@@ -137,19 +138,17 @@ def _emit_windows(size: int, shared, hot):
             found = w.words_of(batch, "text")
             window, key, text, at = window_symbols(found, size)
             pick = np.flatnonzero(shared.has(key))
-            second = _second_names(found, at[pick], size)
             # Each window once for each text.
-            order = np.lexsort((second, window[pick], text[pick]))
-            pick, second = pick[order], second[order]
-            new = _distinct(text[pick], window[pick], second)
-            pick, second = pick[new], second[new]
-            window, key, text = window[pick], key[pick], text[pick]
+            pick = pick[np.argsort(window[pick] ^ w.mix(text[pick]))]
+            pick = pick[_distinct(window[pick], text[pick])]
+            window, key, text, at = window[pick], key[pick], text[pick], at[pick]
             ids = batch.column("id").take(pa.array(text))
-            salt = 1 + (w.mix(np.asarray(ids).view(np.uint64)) % np.uint64(_SALTS)).astype(np.int32)
+            salt = 1 + w.mix(np.asarray(ids).view(np.uint64)) % np.uint64(_SALTS)
             salt[~np.isin(key, hot.value)] = 0
+            second = _second_names(found.names(), at, size)
+            mark = (second << np.uint64(8) | salt).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(window.view(np.int64)), pa.array(second.view(np.int64)), ids, pa.array(salt)],
-                ["window", "second", "id", "salt"],
+                [pa.array(window.view(np.int64)), pa.array(mark), ids], ["window", "mark", "id"]
             )
 
     return run
@@ -214,10 +213,10 @@ def shared_windows(docs: DataFrame, size: int) -> DataFrame:
     hot = np.array([r.key for r in keys.where(F.col("n") > limit).collect()], np.int64)
     shared = key_filter(keys, "key", n_keys)
     hot = spark.sparkContext.broadcast(np.sort(hot.view(np.uint64)))
-    rows = docs.mapInArrow(_emit_windows(size, shared, hot), "window long, second long, id long, salt int")
-    own = Window.partitionBy("window", "second", "salt").orderBy("id")
-    rows = rows.withColumn("first", F.first("id").over(own)).where("first < id or salt > 0")
-    rows = stage(rows.select("window", "second", "id", "first"), "windows")
+    rows = docs.mapInArrow(_emit_windows(size, shared, hot), "window long, mark long, id long")
+    own = Window.partitionBy("window", "mark").orderBy("id")
+    rows = rows.withColumn("first", F.first("id").over(own)).where("first < id or (mark & 255) > 0")
+    rows = stage(rows.withColumn("second", F.shiftright("mark", 8)).select("window", "second", "id", "first"), "windows")
     later = rows.where("first < id").select("id", "window")
     # Of a hot window each salt's first document is left: few rows, compared once more.
     again = Window.partitionBy("window", "second").orderBy("id")
