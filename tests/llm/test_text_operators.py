@@ -228,6 +228,30 @@ def test_encode_and_decode_tables(odd_docs, no_docs):
     assert sentencepiece.encode(no_docs).count() == 0
 
 
+def test_real_pieces_have_log_scores_and_best_paths():
+    import sentencepiece as model_reader
+
+    model = model_reader.SentencePieceProcessor(model_file=sentencepiece.MODEL)
+    pieces = sentencepiece.Pieces.load(sentencepiece.MODEL)
+    names = {model.id_to_piece(i): pieces.scores[i] for i in range(257 + 2, model.get_piece_size())}
+    assert max(names.values()) < 0 and abs(sum(np.exp(s) for s in names.values()) - 1) < 1e-9
+    encoder = sentencepiece._Encoder(pieces)
+    texts = ["The quick brown fox jumps over the lazy dog", "Über die Straße  gehen", "a", "  two", "def f(x): return x ** 2", "naïve café"]
+    for text in texts:
+        marked = "▁" + text.replace(" ", "▁")
+        best = [0.0] + [float("-inf")] * len(marked)
+        for j in range(1, len(marked) + 1):
+            best[j] = max((best[i] + names[marked[i:j]] for i in range(j) if marked[i:j] in names), default=float("-inf"))
+        ids = encoder(text).tolist()
+        assert abs(sum(pieces.scores[i] for i in ids) - best[-1]) < 1e-9 and pieces.decode(ids) == text
+    assert len(encoder(texts[0])) == 11 == len(model.encode(texts[0]))
+
+
+def test_ranks_become_log_scores_and_ties_keep_their_order():
+    got = sentencepiece.log_scores([0.0, -5.0, -1.0, -5.0], [False, True, True, True])
+    assert got[0] == 0 and got[2] > got[1] > got[3] and abs(sum(np.exp(got[1:])) - 1) < 1e-12
+
+
 # --- chat --------------------------------------------------------------------
 
 FRAGMENTS = st.lists(st.sampled_from([*chat.CONTROLS, "[", "/INST]", "<", "</s", ">", "\\", " ", "\n", "a", "[INST] "]), max_size=8).map("".join)
