@@ -21,6 +21,8 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from paywarden.llm.tables import stage
+
 CONTROLS = ["[INST]", "[/INST]", "</s>", "<|role|>", "<|text|>"]
 TEMPLATE = (
     "{% for m in messages %}"
@@ -321,12 +323,16 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
 # --- Spark ------------------------------------------------------------------
 
 
-def _ordered(conversations: DataFrame) -> DataFrame:
-    """A conversation's rows together and in order; they pass through a task one by one."""
-    columns = [F.col("conv_id").cast("long"), F.col("turn").cast("long")]
-    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")]
-    rows = conversations.select(*columns, *texts)
-    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+_KEYS = ["conv_id", "turn", "role", "text"]
+#: Bounds between ranges of rows are drawn from so many characters of a text.
+_BOUND_CHARS = 64
+#: Copies of a row are made in blocks of so many.
+_COPIES = 100_000
+
+
+def _turns(conversations: DataFrame) -> DataFrame:
+    columns = [F.col(c).cast("long").alias(c) for c in _KEYS[:2]]
+    return conversations.select(*columns, *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in _KEYS[2:]])
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -345,38 +351,94 @@ def _batched(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*block), schema)], schema=schema)
 
 
+def _numbered(turns: DataFrame) -> DataFrame:
+    """Rows in ranges by conversation and turn, numbered within their range.
+
+    Equal rows are one with their number ``n``.  ``local`` counts a conversation's
+    turns before the row in its range; ``first``: the range begins with its
+    conversation; ``ends``: no row of its conversation follows in the range;
+    ``final``: nothing at all follows there.
+    """
+    counted = turns.groupBy(*_KEYS).agg(F.count("*").alias("n"))
+    bounds = ["conv_id", "turn", *[F.substring(c, 1, _BOUND_CHARS) for c in _KEYS[2:]]]
+    rows = counted.repartitionByRange(*bounds).sortWithinPartitions(*_KEYS)
+    rows = rows.select(F.spark_partition_id().alias("part"), "conv_id", "role", "text", "n")
+    schema = pa.schema(
+        [("part", pa.int32()), ("conv_id", pa.int64()), ("role", pa.string()), ("text", pa.string()), ("n", pa.int64()),
+         ("local", pa.int64()), ("first", pa.bool_()), ("ends", pa.bool_()), ("final", pa.bool_())]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def numbered():
+            waiting, local, first = None, 0, True
+            for row in _rows(batches):
+                if waiting is not None:
+                    other = waiting[1] != row[1]
+                    yield (*waiting, local, first, other, False)
+                    local, first = (0, False) if other else (local + waiting[4], first)
+                waiting = row
+            if waiting is not None:
+                yield (*waiting, local, first, True, True)
+
+        yield from _batched(numbered(), schema)
+
+    return rows.mapInArrow(run, "part int, conv_id long, role string, text string, n long, local long, first boolean, ends boolean, final boolean")
+
+
+def _carried(rows: DataFrame) -> dict[int, tuple[int, bool]]:
+    """For each range: turns of its first conversation in ranges before it, and whether its last one goes on.
+
+    One row for each range comes to the driver.
+    """
+    last = F.max(F.when(F.col("final"), F.struct("conv_id", (F.col("local") + F.col("n")).alias("turns"))))
+    begun = F.max(F.when(F.col("first"), F.struct("conv_id")))
+    ranges = rows.groupBy("part").agg(begun.alias("begun"), last.alias("last")).collect()
+    out: dict[int, tuple[int, bool]] = {}
+    before, turns = None, 0
+    for r in sorted(ranges, key=lambda r: r.part):
+        goes_on = before is not None and before.last.conv_id == r.begun.conv_id
+        if goes_on:
+            out[before.part] = (out[before.part][0], True)
+        out[r.part] = (turns if goes_on else 0, False)
+        turns = r.last.turns + (out[r.part][0] if r.last.conv_id == r.begun.conv_id else 0)
+        before = r
+    return out
+
+
 def format_turns(conversations: DataFrame, template: str = TEMPLATE) -> DataFrame:
     """One row per turn: conv_id, ``place`` from 0, ``formatted`` and ``learn`` (spans in it).
 
     A conversation's output is its rows' ``formatted`` in order of place.  Rows
-    go by turn, then role and text; a null role or text is empty; rows without
-    a conv_id are one conversation.  Columns other than conv_id, turn, role and
-    text are not read.  Text outside the template's loop goes with the first
-    turn if it stands before, else with the last.
+    go by turn, then role and text; equal rows are each a turn.  A null role or
+    text is empty; rows without a conv_id are one conversation; no rows, no
+    result.  Columns other than conv_id, turn, role and text are not read.  Text
+    outside the template's loop goes with the first turn if it stands before,
+    else with the last.
+
+    A conversation may be cut into ranges of turns, which are numbered by
+    themselves; what ranges before it held is added to each.
     """
     program = Program(template)
     schema = pa.schema([("conv_id", pa.int64()), ("place", pa.int64()), ("formatted", pa.string()), ("learn", pa.list_(pa.list_(pa.int64())))])
+    rows = stage(_numbered(_turns(conversations)), "turns")
+    carried = _carried(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def turns():
-            waiting, place = None, 0
-            for conv, _, role, text in _rows(batches):
-                if waiting is not None and waiting[0] == conv:
-                    place += 1
-                    yield waiting
-                else:
-                    place = 0
-                    if waiting is not None:
-                        yield (*waiting[:2], waiting[2] + program.after(), waiting[3])
+            for part, conv, role, text, n, local, first, ends, final, copy in _rows(batches):
+                before, goes_on = carried[part]
+                place = local + copy + (before if first else 0)
                 piece, spans = program.turn(place, role, text)
                 lead = program.before() if place == 0 else ""
-                waiting = (conv, place, lead + piece, [[a + len(lead), b + len(lead)] for a, b in spans])
-            if waiting is not None:
-                yield (*waiting[:2], waiting[2] + program.after(), waiting[3])
+                tail = program.after() if copy == n - 1 and ends and not (final and goes_on) else ""
+                yield conv, place, lead + piece + tail, [[a + len(lead), b + len(lead)] for a, b in spans]
 
         yield from _batched(turns(), schema)
 
-    return _ordered(conversations).mapInArrow(run, "conv_id long, place long, formatted string, learn array<array<long>>")
+    blocks = rows.withColumn("block", F.explode(F.expr(f"sequence(0L, n - 1, {_COPIES}L)")))
+    copies = F.explode(F.expr(f"sequence(block, least(n, block + {_COPIES}L) - 1)"))
+    rows = blocks.select(*rows.columns, copies.alias("copy"))
+    return rows.mapInArrow(run, "conv_id long, place long, formatted string, learn array<array<long>>")
 
 
 @dataclass
@@ -388,46 +450,71 @@ class _Digest:
     loss_chars: int = 0
     chars: int = 0
 
-    def add(self, piece: str, spans: list[tuple[int, int]]) -> None:
-        for role, text in read_back(piece):
-            self.turns.update(f"{role}\n{text}\n".encode())
-            self.n += 1
-        for a, b in spans:
-            own = unescape(piece[a:b])
-            self.loss.update(own.encode())
-            self.loss_chars += len(own)
-        self.chars += len(piece)
+    def add(self, role: str, text: str, chars: int, learned: str | None) -> None:
+        self.turns.update(f"{role}\n{text}\n".encode())
+        self.n += 1
+        if learned is not None:
+            self.loss.update(learned.encode())
+            self.loss_chars += len(learned)
+        self.chars += chars
 
     def row(self) -> tuple:
         return self.conv, self.n, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
 
 
+def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row formatted in the default template, and what its output says.
+
+    ``learned`` is the text to learn, null if there is none or if it is the
+    turn's text, which ``whole`` tells.
+    """
+    program = Program(TEMPLATE)
+    schema = pa.schema(
+        [("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string()),
+         ("chars", pa.int64()), ("whole", pa.bool_()), ("learned", pa.string())]
+    )
+
+    def turns():
+        for conv, turn, role, text in _rows(batches):
+            # The default template asks for no place.
+            piece, spans = program.turn(0, role, text)
+            ((role, text),) = read_back(piece)
+            learned = "".join(unescape(piece[a:b]) for a, b in spans) if spans else None
+            whole = learned == text
+            yield conv, turn, role, text, len(piece), whole, None if whole else learned
+
+    yield from _batched(turns(), schema)
+
+
 def formatted_digests(conversations: DataFrame) -> DataFrame:
     """One row per conversation of what is read back from its output in the default template.
 
     conv_id, ``n_turns``, ``turns_sha256``, ``loss_chars``, ``loss_sha256``,
     ``formatted_chars``.  Nulls and ties as in ``format_turns``; no rows, no result.
-    Only digests of the conversation at hand are held.
+
+    Rows are formatted and read back where they lie.  A digest has to see its
+    turns in order, so a conversation's rows pass through one task, which only
+    hashes; none is held beyond the row at hand.
     """
-    program = Program(TEMPLATE)
     schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def conversations_of():
             own = None
-            for conv, _, role, text in _rows(batches):
+            for conv, _, role, text, chars, whole, learned in _rows(batches):
                 if own is None or own.conv != conv:
                     if own is not None:
                         yield own.row()
-                    own, place = _Digest(conv), 0
-                own.add(*program.turn(place, role, text))
-                place += 1
+                    own = _Digest(conv)
+                own.add(role, text, chars, text if whole else learned)
             if own is not None:
                 yield own.row()
 
         yield from _batched(conversations_of(), schema)
 
-    return _ordered(conversations).mapInArrow(
+    read = "conv_id long, turn long, role string, text string, chars long, whole boolean, learned string"
+    rows = _turns(conversations).mapInArrow(_read_back, read)
+    return rows.repartition("conv_id").sortWithinPartitions(*_KEYS).mapInArrow(
         run,
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
     )

@@ -2,6 +2,25 @@
 
 from __future__ import annotations
 
+# Control strings hold no first character of another, so they are counted one by one.
+OP4 = r"""
+WITH c AS (
+  SELECT conv_id::BIGINT AS conv_id, turn::BIGINT AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), e AS (
+  SELECT *,
+    len(text) + len(regexp_extract_all(text, '\\|\[/?INST\]|</s>|<\|(?:role|text)\|>')) AS text_chars,
+    len(role) + len(regexp_extract_all(role, '\\|\[/?INST\]|</s>|<\|(?:role|text)\|>')) AS role_chars
+  FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(len(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(text_chars + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 4 ELSE role_chars + 20 END)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
 OP6 = """
 WITH t AS (
   SELECT doc_id, coalesce(text, '') AS text FROM documents
@@ -91,4 +110,10 @@ SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": OP6, "op7_substring_dedup": OP7, "op10_jaccard_join": OP10, "op12_ranked_search": OP12}
+    return {
+        "op4_chat_format": OP4,
+        "op6_exact_dedup": OP6,
+        "op7_substring_dedup": OP7,
+        "op10_jaccard_join": OP10,
+        "op12_ranked_search": OP12,
+    }

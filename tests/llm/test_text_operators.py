@@ -289,6 +289,35 @@ def test_conversation_tables(spark):
     assert sum(len(r.formatted) for r in pieces if r.conv_id == 2) == got[2].formatted_chars
 
 
+def test_conversations_cut_into_ranges_are_numbered_through(spark):
+    rng = random.Random(14)
+    big = [(7, rng.randrange(400), rng.choice(["user", "assistant", None]), rng.choice(["a", "</s>", None]) ) for _ in range(600)]
+    rows = big + [(None, 0, "user", "same")] * 300 + [(c, t, "user", f"{c} {t}") for c in (1, 2, 9) for t in range(5)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    template = "<{% for m in messages %}{{ loop.index0 }}{% if loop.first %}!{% endif %}{{ m.role }}:{{ m.text }},{% endfor %}>"
+    program, convs = chat.Program(template), {}
+    for row in sorted(rows, key=lambda r: (r[0] or 0, r[1], r[2] or "", r[3] or "")):
+        convs.setdefault(row[0], []).append((row[2] or "", row[3] or ""))
+    # Ranges are cut differently with other numbers of partitions; the output is the same.
+    for n in ("1", "3", "40"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            out = chat.format_turns(df, template)
+            got = {}
+            for r in sorted(out.collect(), key=lambda r: r.place):
+                got.setdefault(r.conv_id, []).append((r.place, r.formatted))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        for conv, turns in convs.items():
+            assert [p for p, _ in got[conv]] == list(range(len(turns)))
+            plain = [program.turn(i, *x)[0] for i, x in enumerate(turns)]
+            assert "".join(f for _, f in got[conv]) == "<" + "".join(plain) + ">"
+        assert set(got) == set(convs)
+    assert chat.format_turns(df.where("false")).count() == 0
+
+
 # --- benchmark items ---------------------------------------------------------
 
 
