@@ -408,6 +408,23 @@ def test_whole_and_windowed_search_agree():
             assert name in {templates.ids[t] for t, *_ in templates.matches(grams)}
 
 
+def test_notices_with_words_put_into_them_are_found():
+    templates = license_scan.Templates(license_scan.NOTICES)
+    rng = random.Random(6)
+    contained, found, false = 0, 0, 0
+    for name, notice in license_scan.NOTICES.items():
+        whole = set(license_scan._shingles([license_scan._plain(notice)])[0].tolist())
+        for put in (0, 1, 5, 20, 40) * 12:
+            words, extra = license_scan._plain(notice).split(), [f"x{rng.randrange(999)}" for _ in range(put)]
+            k = rng.randrange(len(words))
+            around = [f"f{rng.randrange(999)}" for _ in range(rng.randrange(200))]
+            grams, _ = license_scan._shingles([" ".join([*around, *words[:k], *extra, *words[k:], *around])])
+            want = len(whole & set(grams.tolist())) >= license_scan.LEAST_CONTAINED * len(whole)
+            got = name in {templates.ids[t] for t, *_ in templates.matches(grams)}
+            contained, found, false = contained + want, found + (want and got), false + (got and not want)
+    assert contained > 300 and found / contained >= 0.98 and not false
+
+
 def test_languages_on_held_out_texts(spark):
     from pathlib import Path
 
