@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -113,3 +114,25 @@ def test_streamed_velocity_equals_the_batch_feature(spark, tmp_path, rocksdb):
     want = behaviour(silver(spark, rows), ["transaction_velocity"]).select("user_id", "transaction_id", "transaction_velocity")
     got = spark.read.parquet(out).select(*want.columns)
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_streamed_velocity_of_many_rows_ends_soon(spark, tmp_path, rocksdb):
+    """One user with many waiting seconds, many users with few; a timer for each second took minutes."""
+    folder, out = str(tmp_path / "silver"), str(tmp_path / "out")
+    second = F.when(F.col("id") < 10_000, F.col("id") * 7).otherwise(F.col("id") * 37 % 86_400)
+    user = F.when(F.col("id") < 10_000, F.lit("big")).otherwise((F.col("id") % 4_000).cast("string"))
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 11 > 0, F.col("id").cast("string")).alias("transaction_id"), user.alias("user_id"),
+        F.timestamp_seconds(second + 1_709_251_200).alias("timestamp"),
+    )
+    rows = spark.createDataFrame([], SILVER_SCHEMA).unionByName(rows, allowMissingColumns=True)
+    add_file(rows.orderBy(F.xxhash64("user_id", "timestamp")), folder)
+    add_file(silver(spark, [{"transaction_id": "end", "user_id": "z", "timestamp": NOON + dt.timedelta(days=9)}]), folder)
+    stream = spark.readStream.schema(SILVER_SCHEMA).parquet(folder)
+    began = time.monotonic()
+    found = velocity.velocity_stream(stream, "2 days")
+    writer = found.writeStream.outputMode("append").format("parquet").option("checkpointLocation", str(tmp_path / "state"))
+    run(writer.trigger(availableNow=True).start(out))
+    assert time.monotonic() - began < 60
+    want = behaviour(rows, ["transaction_velocity"]).select("user_id", "transaction_id", "transaction_velocity")
+    assert same(spark.read.parquet(out).select(*want.columns), want)
