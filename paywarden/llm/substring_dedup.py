@@ -216,11 +216,13 @@ def shared_windows(docs: DataFrame, size: int) -> DataFrame:
     rows = docs.mapInArrow(_emit_windows(size, shared, hot), "window long, mark long, id long")
     own = Window.partitionBy("window", "mark").orderBy("id")
     rows = rows.withColumn("first", F.first("id").over(own)).where("first < id or (mark & 255) > 0")
-    rows = stage(rows.withColumn("second", F.shiftright("mark", 8)).select("window", "second", "id", "first"), "windows")
-    later = rows.where("first < id").select("id", "window")
+    # What is stored has a second name only where it is compared once more.
+    second = F.when(F.col("first") == F.col("id"), F.shiftright("mark", 8))
+    rows = stage(rows.select("window", "id", second.alias("second")), "windows")
+    later = rows.where("second is null").select("id", "window")
     # Of a hot window each salt's first document is left: few rows, compared once more.
     again = Window.partitionBy("window", "second").orderBy("id")
-    firsts = rows.where("first = id").withColumn("first", F.first("id").over(again))
+    firsts = rows.where("second is not null").withColumn("first", F.first("id").over(again))
     return later.union(firsts.where("first < id").select("id", "window"))
 
 

@@ -3,6 +3,7 @@
 import random
 import re
 
+from paywarden.llm import substring_dedup
 from paywarden.llm.components import components
 from paywarden.llm.exact_dedup import drop_exact_copies, exact_dedup
 from paywarden.llm.jaccard_join import jaccard_components
@@ -160,3 +161,20 @@ def test_many_groups_that_share_a_passage(spark, monkeypatch):
     rows += [(200 + d, f"own{d} w{d} v{d} u{d}") for d in range(50)]
     for percent in (95, 80):
         assert plain(jaccard_components(frame(spark, rows), percent=percent)) == linked(rows, 3, percent)
+
+
+def test_windows_are_stored_without_what_only_hot_ones_need(spark, monkeypatch):
+    stored = {}
+
+    def kept(df, name, stage=substring_dedup.stage):
+        stored[name] = stage(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(substring_dedup, "stage", kept)
+    text = " ".join(f"w{i}" for i in range(20))
+    rows = [(1, text), (2, text + " x"), (3, "y " + text)]
+    got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect()), key=repr) == repeats(rows)
+    windows = stored["windows"]
+    assert sorted(windows.columns) == ["id", "second", "window"]
+    assert windows.where("second is not null").count() == 0 and windows.count() == 16
