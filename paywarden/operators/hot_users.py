@@ -184,11 +184,11 @@ def _instant_values(
         .agg(*totals)
     )
 
+    # Both windows are content with one sort, by second and instant.
     in_block = W.partitionBy(*block)
     running = instants.withColumns(
-        {c: F.sum(c).over(in_block.orderBy("timestamp")) for c in _PER_DAY}
-        | {c: F.sum(c).over(in_block.orderBy("_second")) for c in _SLIDING}
-    )
+        {c: F.sum(c).over(in_block.orderBy("_second", "timestamp")) for c in _PER_DAY}
+    ).withColumns({c: F.sum(c).over(in_block.orderBy("_second")) for c in _SLIDING})
 
     earlier = (W.unboundedPreceding, -1)
     same_day = W.partitionBy("user_id", "_day").orderBy("_block").rowsBetween(*earlier)

@@ -136,3 +136,9 @@ def test_skewed_keys_are_split_at_run_time(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_running_totals_of_big_users_take_one_sort(spark):
+    text = plan(hot_user_columns(transactions(spark, SF), ["transaction_velocity", "daily_transaction_count"]))
+    sorts = [s for s in re.findall(r"Sort \[([^\]]*)\]", text) if "_block" in s and ("timestamp" in s or "_second" in s)]
+    assert len(sorts) == 1

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -286,7 +287,9 @@ def rough_features(spark, sf_dir):
 
 @_query
 def rough_features_hot_users(spark, sf_dir):
-    rows = hot_users.hot_user_columns(_rough_layer(spark, sf_dir))
+    # They are read twice.
+    layer, _ = stage(_rough_layer(spark, sf_dir), "rough-layer")
+    rows = hot_users.hot_user_columns(layer)
     return rows.select("transaction_id", *FEATURE_COLUMNS, *CONTEXT_COLUMNS)
 
 
@@ -403,13 +406,32 @@ def stream_quarantine(spark, sf_dir):
     return _streamed_layer(spark, sf_dir, quality.QUARANTINE)
 
 
+@contextmanager
+def _state_on_disk(spark):
+    """Streams that start meanwhile keep their state in RocksDB, without looking up what is there only to count it."""
+    state = "spark.sql.streaming.stateStore"
+    settings = {
+        f"{state}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        f"{state}.rocksdb.trackTotalNumberOfRows": "false",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 @_query
 def stream_velocity(spark, sf_dir):
     """Sliding window counts of a stream."""
     folder, out = _new_path(spark, "silver-stream"), _new_path(spark, "windows")
     transactions(spark, sf_dir).repartition(4).write.parquet(folder)
     stream = spark.readStream.schema(SILVER_SCHEMA).option("maxFilesPerTrigger", 2).parquet(folder)
-    _finished(velocity.start_window_counts(stream, out, uuid.uuid4().hex, late_by="60 days"))
+    with _state_on_disk(spark):
+        _finished(velocity.start_window_counts(stream, out, uuid.uuid4().hex, late_by="60 days"))
     return velocity.read_window_counts(spark, out)
 
 
@@ -423,15 +445,10 @@ def stream_transaction_velocity(spark, sf_dir):
     end = rows.limit(1).withColumns({"user_id": F.lit("end"), "timestamp": F.lit("2025-01-01").cast("timestamp")})
     end.coalesce(1).write.mode("append").parquet(folder)
     stream = spark.readStream.schema(SILVER_SCHEMA).parquet(folder)
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider)
-    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
+    with _state_on_disk(spark):
         writer = velocity.velocity_stream(stream, "60 days").writeStream.outputMode("append").format("parquet")
         state = f"{shared_folder(spark)}/streams/{uuid.uuid4().hex}"
         _finished(writer.option("checkpointLocation", state).trigger(availableNow=True).start(out))
-    finally:
-        spark.conf.set(provider, before)
     return spark.read.parquet(out).select("transaction_id", "transaction_velocity")
 
 
