@@ -45,8 +45,13 @@ def start_window_counts(
     state of older windows is let go.  Each batch writes the counts it changed
     to a folder of its own, so a batch that is run again after a loss replaces
     what it wrote.
+
+    Rows are dealt out before they are counted: a row is in several windows, and
+    a task that counts all windows of the files it reads holds them all.  Keep
+    many open windows in the RocksDB state store, the default one is in memory.
     """
-    counts = window_counts(transactions.withWatermark("timestamp", late_by), length, slide)
+    rows = transactions.select("user_id", "timestamp").repartition("user_id", "timestamp")
+    counts = window_counts(rows.withWatermark("timestamp", late_by), length, slide)
     root = out_path.rstrip("/")
 
     def write(batch: DataFrame, number: int) -> None:
@@ -59,9 +64,12 @@ def start_window_counts(
 
 def read_window_counts(spark: SparkSession, out_path: str) -> DataFrame:
     """The latest count of each user and window."""
-    rows = read_parquet(spark, out_path)
-    latest = F.max(F.struct("batch", "txn_count"))["txn_count"]
-    return rows.groupBy("user_id", "window_start", "window_end").agg(latest.alias("txn_count"))
+    keys = ["user_id", "window_start", "window_end"]
+    # A window's count only ever grows, so its latest is its greatest.  A number
+    # of partitions that is named is not merged into fewer at run time.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = read_parquet(spark, out_path).repartition(parts, *keys)
+    return rows.groupBy(*keys).agg(F.max("txn_count").alias("txn_count"))
 
 
 #: Users are dealt out to so many keys of state; a checkpoint holds for one number only.

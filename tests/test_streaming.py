@@ -1,5 +1,7 @@
 import datetime as dt
+import re
 import time
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -136,3 +138,22 @@ def test_streamed_velocity_of_many_rows_ends_soon(spark, tmp_path, rocksdb):
     assert time.monotonic() - began < 60
     want = behaviour(rows, ["transaction_velocity"]).select("user_id", "transaction_id", "transaction_velocity")
     assert same(spark.read.parquet(out).select(*want.columns), want)
+
+
+def test_rows_are_dealt_out_before_their_windows_are_counted(spark, tmp_path, capsys, monkeypatch):
+    folder, out = str(tmp_path / "silver"), str(tmp_path / "out")
+    add_file(silver(spark, [{"user_id": u} for u in "aab"]), folder)
+    plans, windows = [], velocity.window_counts
+
+    def seen(rows, *lengths):
+        plans.append(rows._jdf.queryExecution().analyzed().toString())
+        return windows(rows, *lengths)
+
+    monkeypatch.setattr(velocity, "window_counts", seen)
+    run(velocity.start_window_counts(spark.readStream.schema(SILVER_SCHEMA).parquet(folder), out, uuid.uuid4().hex))
+    assert re.search(r"RepartitionByExpression \[user_id#\d+, timestamp#\d+", plans[0])
+    counts = velocity.read_window_counts(spark, out)
+    counts.explain()
+    text = capsys.readouterr().out
+    assert "SortAggregate" not in text and len(re.findall(r"Exchange ", text)) == 1
+    assert sorted(r.txn_count for r in counts.collect()) == [1] * 6 + [2] * 6
